@@ -8,8 +8,8 @@ never modified: any version stays readable, with the schema it had.
 Layout below the root::
 
     data/v=<n>/<partition folders>/   rows written by version n
-    folders/version=<n>/              the folders version n consists of
-    history/version=<n>/              one row, written last: this makes the version visible
+    history/version=<n>/              one row with the folders version n consists of;
+                                      written last, it makes the version visible
 
 One writer at a time.  A second writer that lost the race fails when it commits.
 """
@@ -17,23 +17,30 @@ One writer at a time.  A second writer that lost the race fails when it commits.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from tallymill.operators import dml
 from tallymill.operators.layout import clustered, sized_for_write
 from tallymill.schemas import table
 from tallymill.sources.readers import path_exists
 
-_FOLDERS = table("folder string")
-_HISTORY = table(
+_FACTS = table(
     "committed_at timestamp, operation string, detail string, rows_matched long, rows_written long, "
-    "folders_rewritten long, schema_json string"
+    "folders_rewritten long"
 )
+_HISTORY = StructType(_FACTS.fields).add("schema_json", StringType()).add("folders", ArrayType(StringType()))
+_HISTORY_ARROW = pa.schema([
+    ("committed_at", pa.timestamp("us", tz="UTC")), ("operation", pa.string()), ("detail", pa.string()),
+    ("rows_matched", pa.int64()), ("rows_written", pa.int64()), ("folders_rewritten", pa.int64()),
+    ("schema_json", pa.string()), ("folders", pa.list_(pa.string())),
+])
 
 
 @dataclass(frozen=True)
@@ -56,13 +63,13 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """One row per committed version, with what was done and how much it touched."""
-        return (
-            self.spark.read.schema(_HISTORY).parquet(f"{self.root}/history")
-            .select(F.col("version").cast("long").alias("version"), *[c for c in _HISTORY.names if c != "schema_json"])
-        )
+        entries = self.spark.read.schema(_FACTS).parquet(f"{self.root}/history")
+        return entries.select(F.col("version").cast("long").alias("version"), *_FACTS.names)
 
     def latest_version(self) -> int:
-        return self.history().agg(F.max("version")).first()[0]
+        """Newest committed version, from the names of the history files alone."""
+        names = self.spark.read.schema(_FACTS).parquet(f"{self.root}/history").inputFiles()
+        return max(int(re.search(r"/version=(\d+)/", name).group(1)) for name in names)
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of a version, the newest by default.
@@ -165,15 +172,12 @@ class VersionedTable:
     def _version(self, number: int | None = None) -> _Version:
         if number is None:
             number = self.latest_version()
-        entry = (
-            self.spark.read.schema(_HISTORY).parquet(f"{self.root}/history")
-            .where(F.col("version") == number).select("schema_json").first()
-        )
-        if entry is None:
+        path = f"{self.root}/history/version={number}"
+        if not path_exists(self.spark, path):
             raise ValueError(f"no version {number} in {self.root}")
-        # One short string per live table partition: the size of Spark's own file index.
-        listed = self.spark.read.schema(_FOLDERS).parquet(f"{self.root}/folders/version={number}").collect()
-        return _Version(number, StructType.fromJson(json.loads(entry[0])), frozenset(row[0] for row in listed))
+        # The list has one short string per live table partition, like Spark's own file index.
+        entry = self.spark.read.schema(_HISTORY).parquet(path).select("schema_json", "folders").first()
+        return _Version(number, StructType.fromJson(json.loads(entry[0])), frozenset(entry[1]))
 
     def _read(self, version: _Version, folders: frozenset[str] | set[str], located: bool = False) -> DataFrame:
         if not folders:
@@ -200,7 +204,7 @@ class VersionedTable:
         """Folders a version has written; only file names and row counts are read."""
         base = f"{self.root}/data"
         found = (
-            self.spark.read.schema(_FOLDERS).option("basePath", base).parquet(f"{base}/v={number}")
+            self.spark.read.schema(_FACTS).option("basePath", base).parquet(f"{base}/v={number}")
             .select(_folder().alias("folder")).distinct().collect()
         )
         return frozenset(row[0] for row in found)
@@ -211,11 +215,14 @@ class VersionedTable:
 
     def _commit(self, number: int, operation: str, detail: str, schema: StructType, folders, matched: int,
                 written: int, rewritten: int) -> int:
-        listing = self.spark.createDataFrame([(folder,) for folder in sorted(folders)], _FOLDERS)
-        listing.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/folders/version={number}")
-        entry = (datetime.now(timezone.utc), operation, detail, matched, written, rewritten, schema.json())
+        entry = {
+            "committed_at": datetime.now(timezone.utc), "operation": operation, "detail": detail,
+            "rows_matched": matched, "rows_written": written, "folders_rewritten": rewritten,
+            "schema_json": schema.json(), "folders": sorted(folders),
+        }
+        record = pa.Table.from_pylist([entry], schema=_HISTORY_ARROW)
         (
-            self.spark.createDataFrame([entry], _HISTORY).coalesce(1)
+            self.spark.createDataFrame(record).coalesce(1)
             .write.mode("error").parquet(f"{self.root}/history/version={number}")
         )
         return number

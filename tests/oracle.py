@@ -22,9 +22,19 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# Spark type name -> DuckDB type name.
+TYPES = {
+    "string": "VARCHAR", "long": "BIGINT", "integer": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark_df, connection, sql: str) -> None:
     cursor = connection.execute(sql)
     names = [column[0] for column in cursor.description]
+    kinds = {column[0]: str(column[1]) for column in cursor.description}
+    for field in spark_df.schema.fields:
+        assert TYPES[field.dataType.typeName()] == kinds.get(field.name), (field, kinds.get(field.name))
     want_rows = cursor.fetchall()
     got_rows = spark_df.collect()
     assert sorted(spark_df.columns) == sorted(names)
