@@ -4,20 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-_BUCKETS = 64
+
+# Values are cut into _STEP * _STEP ranges, found by two searches of _STEP comparisons.
+_STEP = 8
 
 
 def describe(df: DataFrame, measures: Sequence[str], percentiles: Mapping[str, float] = QUARTILES) -> DataFrame:
-    """count, mean, std (sample), min, interpolated percentiles and max of each measure.
+    """count, mean, std (sample), min, interpolated percentiles and max of each measure."""
+    return (
+        _moments(df, measures).join(exact_percentiles(df, measures, percentiles), "measure", "left")
+        .select("measure", "count", "mean", "std", "min", *percentiles, "max")
+    )
+
 
-    The columns are first reduced to (measure, value, occurrences), which every figure
-    can be computed from.  For the percentiles the values are cut into ranges at
-    approximate quantiles; range totals tell which ranges hold the wanted ranks, and only
-    the values of these are ordered.  Approximation decides how even the ranges are, not
-    the result.
+def _moments(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    def summary(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return F.struct(
+            F.lit(name).alias("measure"), F.count(value).alias("count"), F.mean(value).alias("mean"),
+            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
+        )
+    rows = df.agg(F.array(*[summary(name) for name in measures]).alias("rows"))
+    return rows.select(F.inline("rows"))
+
+
+def exact_percentiles(df: DataFrame, measures: Sequence[str], percentiles: Mapping[str, float]) -> DataFrame:
+    """Linearly interpolated percentiles, one row per measure and one column per percentile.
+
+    The columns are reduced to (measure, value, occurrences) and the values cut into
+    ranges at approximate quantiles.  Range totals tell which ranges hold the wanted
+    ranks, and only the values of those are ordered.  The approximation decides how even
+    the ranges are, not the result.
     """
     values = (
         df.select(*[F.col(name).cast("double").alias(name) for name in measures])
@@ -25,46 +45,18 @@ def describe(df: DataFrame, measures: Sequence[str], percentiles: Mapping[str, f
         .where(F.col("value").isNotNull())
         .groupBy("measure", "value").agg(F.count(F.lit(1)).alias("occurs"))
     )
-    summary = _moments(values)
-    for name in percentiles:
-        if not name.isidentifier():
-            raise ValueError(f"percentile name {name!r} is not a column name")
-    return (
-        summary.join(_percentiles(values, percentiles), "measure", "left")
-        .select("measure", "count", "mean", "std", "min", *percentiles, "max")
-    )
-
-
-def _moments(values: DataFrame) -> DataFrame:
-    total = F.sum(F.col("value") * F.col("occurs"))
-    sums = values.groupBy("measure").agg(
-        F.sum("occurs").alias("count"),
-        (total / F.sum("occurs")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    # Deviations from the mean, rather than a difference of large sums: one more pass over
-    # the reduced values, with one row per measure sent along.
-    deviation = F.col("occurs") * F.pow(F.col("value") - F.col("mean"), 2)
-    spread = (
-        values.join(F.broadcast(sums.select("measure", "mean")), "measure")
-        .groupBy("measure").agg(F.sum(deviation).alias("_spread"))
-    )
-    return sums.join(spread, "measure").withColumn(
-        "std", F.sqrt(F.try_divide(F.col("_spread"), F.col("count") - 1))
+    # One row per measure, whatever the size of the data.  The condition on ``occurs`` is
+    # always true; it keeps this plan equal to the other use of ``values``, whose shuffle
+    # output Spark then reads twice instead of scanning again.
+    steps = [i / _STEP**2 for i in range(1, _STEP**2)]
+    cuts = (
+        values.where(F.col("occurs") > 0)
+        .groupBy("measure").agg(F.percentile_approx("value", steps, 1_000).alias("cuts"))
     )
-
-
-def _percentiles(values: DataFrame, percentiles: Mapping[str, float]) -> DataFrame:
-    # One row per measure: its cut points.  A handful of rows, whatever the data size.
-    steps = [i / _BUCKETS for i in range(1, _BUCKETS)]
-    cuts = values.groupBy("measure").agg(F.percentile_approx("value", steps, 10_000).alias("cuts"))
-    ranged = (
-        values.join(F.broadcast(cuts), "measure")
-        .withColumn("range", F.size(F.filter("cuts", lambda cut: cut < F.col("value"))))
-        .drop("cuts")
+    ranged = values.join(F.broadcast(cuts), "measure").select(
+        "measure", "value", "occurs", _range("value", "cuts").alias("range")
     )
-    # At most _BUCKETS rows per measure: where each range starts in the global ranking.
+    # At most _STEP**2 rows per measure: where each range starts in the global ranking.
     in_measure = Window.partitionBy("measure").orderBy("range")
     starts = (
         ranged.groupBy("measure", "range").agg(F.sum("occurs").alias("size"))
@@ -76,28 +68,34 @@ def _percentiles(values: DataFrame, percentiles: Mapping[str, float]) -> DataFra
         F.struct(F.lit(name).alias("name"), (F.lit(p) * (F.col("total") - 1)).alias("at"))
         for name, p in percentiles.items()
     ]))
-    # Each percentile lies between two neighbouring ranks; keep the ranges holding either.
+    # A percentile lies between two neighbouring ranks.  A range holding any of them is
+    # listed once, with all the ranks it holds.
     targets = (
         starts.select("measure", "range", "start", "end", wanted.alias("w"))
         .select("measure", "range", "start", "end", "w.name", "w.at")
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
         .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end")))
+        .groupBy("measure", "range").agg(
+            F.max("start").alias("start"), F.collect_list(F.struct("name", "at", "rank")).alias("ranks")
+        )
     )
-    held = targets.select("measure", "range", "start").distinct()
-    in_range = Window.partitionBy("measure", "range").orderBy("value")
-    ranked = (
-        ranged.join(F.broadcast(held), ["measure", "range"])
-        .withColumn("upto", F.col("start") + F.sum("occurs").over(in_range))
-        .withColumn("from", F.col("upto") - F.col("occurs"))
-        .select("measure", "range", "value", "from", "upto")
-    )
-    points = (
-        ranked.join(F.broadcast(targets.select("measure", "range", "name", "at", "rank")), ["measure", "range"])
-        .where((F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("upto")))
+    upto = F.col("start") + F.sum("occurs").over(Window.partitionBy("measure", "range").orderBy("value"))
+    hits = (
+        ranged.join(F.broadcast(targets), ["measure", "range"]).withColumn("upto", upto)
+        .select("measure", "value", "occurs", "upto", F.explode("ranks").alias("t"))
+        .where((F.col("t.rank") >= F.col("upto") - F.col("occurs")) & (F.col("t.rank") < F.col("upto")))
+        .select("measure", "value", "t.name", "t.at")
     )
-    low, high = F.min("value"), F.max("value")
-    share = F.max(F.col("at") - F.floor("at"))
-    interpolated = points.groupBy("measure", "name").agg((low + (high - low) * share).alias("value"))
-    return interpolated.groupBy("measure").agg(*[
-        F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in percentiles
-    ])
+    def interpolated(name: str) -> Column:
+        value = F.when(F.col("name") == name, F.col("value"))
+        share = F.max(F.when(F.col("name") == name, F.col("at") - F.floor("at")))
+        return (F.min(value) + (F.max(value) - F.min(value)) * share).alias(name)
+    return hits.groupBy("measure").agg(*[interpolated(name) for name in percentiles])
+
+
+def _range(value: str, cuts: str) -> Column:
+    """Number of cut points below the value: first in steps of _STEP, then one by one."""
+    below = lambda cut: cut < F.col(value)
+    marks = F.array(*[F.element_at(cuts, i * _STEP) for i in range(1, _STEP)])
+    block = F.size(F.filter(marks, below))
+    return block * _STEP + F.size(F.filter(F.slice(cuts, block * _STEP + 1, _STEP), below))

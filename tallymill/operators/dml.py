@@ -52,20 +52,23 @@ def append_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def row_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Keys whose compared columns differ between two tables, with both sets of values.
+    """Rows whose compared columns differ between two tables, with both sets of values.
 
-    ``change`` is ``insert``, ``update`` or ``delete``.
+    ``keys`` must identify a row; null keys match each other.  ``change`` is ``insert``,
+    ``update`` or ``delete``.  Rows equal on both sides cancel out in an aggregation, so
+    that only changed rows are joined.
     """
-    old = before.select(*keys, *[F.col(c).alias(f"{c}_before") for c in columns], F.lit(True).alias("_old"))
-    new = after.select(*keys, *[F.col(c).alias(f"{c}_after") for c in columns], F.lit(True).alias("_new"))
-    both = old.join(new, list(keys), "full")
-    change = (
-        F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").otherwise("update")
+    tagged = before.select(*keys, *columns, F.lit(-1).alias("_side")).unionByName(
+        after.select(*keys, *columns, F.lit(1).alias("_side"))
     )
-    differs = F.lit(False)
-    for column in columns:
-        differs = differs | ~F.col(f"{column}_before").eqNullSafe(F.col(f"{column}_after"))
-    return (
-        both.where(F.col("_old").isNull() | F.col("_new").isNull() | differs)
-        .withColumn("change", change).drop("_old", "_new")
+    changed = tagged.groupBy(*keys, *columns).agg(F.sum("_side").alias("_side")).where("_side != 0")
+    old, new = changed.where("_side < 0").alias("old"), changed.where("_side > 0").alias("new")
+    both = old.join(new, same_keys("old", "new", keys, null_safe=True), "full")
+    no_old, no_new = F.col("old._side").isNull(), F.col("new._side").isNull()
+    change = F.when(no_old, "insert").when(no_new, "delete").otherwise("update")
+    return both.select(
+        *[F.coalesce(F.col(f"old.{key}"), F.col(f"new.{key}")).alias(key) for key in keys],
+        *[F.col(f"old.{c}").alias(f"{c}_before") for c in columns],
+        *[F.col(f"new.{c}").alias(f"{c}_after") for c in columns],
+        change.alias("change"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallymill.functions.columns import first_of_month, growth, money, whole_week
 
@@ -13,48 +13,55 @@ def calendar(df: DataFrame, timestamp: str) -> DataFrame:
     """One row per day from the first to the last date of a table."""
     day = F.col(timestamp).cast("date")
     bounds = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    days = bounds.select(F.explode(F.expr("sequence(first, last, INTERVAL 1 DAY)")).alias("date"))
-    return days.select(
-        "date", F.year("date").alias("year"), F.month("date").alias("month"), whole_week("date").alias("week_start")
+    return _with_date_parts(bounds.select(_each("first", "last", "DAY").alias("date")))
+
+
+def _each(first: str, last: str, step: str) -> Column:
+    return F.explode(F.sequence(first, last, F.expr(f"INTERVAL 1 {step}")))
+
+
+def _with_date_parts(days: DataFrame) -> DataFrame:
+    return days.withColumns(
+        {"year": F.year("date"), "month": F.month("date"), "week_start": whole_week("date")}
+    )
+
+
+def _dense(sums: DataFrame, period: str, step: str, keys: Sequence[str]) -> DataFrame:
+    """Fill the gaps of periodic sums with zero, from the first to the last period per key.
+
+    ``sums`` has one row per key and period.  The periods of a key, at most the length of
+    the calendar, are gathered in a map, so the facts are read once and nothing is joined.
+    """
+    spans = sums.groupBy(*keys).agg(
+        F.min(period).alias("_first"), F.max(period).alias("_last"),
+        F.map_from_entries(F.collect_list(F.struct(period, "amount"))).alias("_amounts"),
+    )
+    amount = F.coalesce(F.try_element_at("_amounts", F.col(period)), F.lit(0))
+    return (
+        spans.select(*keys, "_amounts", _each("_first", "_last", step).alias(period))
+        .select(*keys, period, amount.alias("amount"))
     )
 
 
 def sales_by_calendar(df: DataFrame, timestamp: str, value: str) -> DataFrame:
     """Daily sum on the dense calendar: days without rows show zero."""
-    per_day = df.groupBy(F.col(timestamp).cast("date").alias("date")).agg(F.sum(money(value)).alias("amount"))
-    return (
-        calendar(per_day, "date").join(per_day, "date", "left")
-        .withColumn("amount", F.coalesce(F.col("amount").cast("double"), F.lit(0.0)))
+    per_day = (
+        df.where(F.col(timestamp).isNotNull())
+        .groupBy(F.col(timestamp).cast("date").alias("date")).agg(F.sum(money(value)).alias("amount"))
     )
+    days = _dense(per_day, "date", "DAY", [])
+    return _with_date_parts(days.withColumn("amount", F.col("amount").cast("double")))
 
 
 def monthly_series(df: DataFrame, timestamp: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Dense monthly sums (decimal ``amount``) of each key, from its first to its last month.
-
-    Months between are filled with zero.  Facts are summed before anything else; the
-    filling works on one row per key and month.
-    """
+    """Dense monthly sums (decimal ``amount``) of each key, from its first to its last month."""
     sums = (
         df.where(F.col(timestamp).isNotNull())
         .groupBy(*keys, first_of_month(timestamp).alias("month_start"))
         .agg(F.sum(money(value)).alias("amount"))
     )
-    spans = sums.groupBy(*keys).agg(F.min("month_start").alias("first"), F.max("month_start").alias("last"))
-    months = spans.select(
-        *keys, F.explode(F.expr("sequence(first, last, INTERVAL 1 MONTH)")).alias("month_start")
-    )
-    dense = months.alias("m").join(
-        sums.alias("s"),
-        [F.col(f"m.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*keys, "month_start"]],
-        "left",
-    )
-    return dense.select(
-        *[F.col(f"m.{key}").alias(key) for key in keys],
-        F.col("m.month_start").alias("month_start"),
-        F.year("m.month_start").alias("year"),
-        F.month("m.month_start").alias("month"),
-        F.coalesce("s.amount", F.lit(0)).alias("amount"),
-    )
+    months = _dense(sums, "month_start", "MONTH", keys)
+    return months.withColumns({"year": F.year("month_start"), "month": F.month("month_start")})
 
 
 def year_to_date(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
