@@ -63,13 +63,18 @@ def stream_latest(stream: DataFrame, table: VersionedTable, checkpoint: str, key
     )
 
 
-def stream_medallion(house: RetailLakehouse, raw_dir: str, checkpoint: str,
-                     files_per_batch: int | None = None) -> StreamingQuery:
-    """New sales files to bronze and on to silver, one micro-batch at a time."""
+def stream_medallion(house: RetailLakehouse, raw_dir: str, checkpoint: str, files_per_batch: int | None = None,
+                     recheck: bool = False) -> StreamingQuery:
+    """New sales files to bronze and on to silver, one micro-batch at a time.
+
+    With ``recheck`` every batch validates the whole look-back period again, as the batch
+    job does, so a sale rejected yesterday is accepted once its master row has arrived.
+    """
     def handle(batch: DataFrame, number: int) -> None:
+        load_id = f"stream-{number}"
         with house.log.run("bronze_sales_ingestion", "bronze") as run:
-            run.processed = house.write_bronze(batch, f"stream-{number}")
-        house.refresh_silver(house.bronze_load(f"stream-{number}"))
+            run.processed = house.write_bronze(batch, load_id)
+        house.refresh_silver(None if recheck else house.bronze_load(load_id))
 
     sales = with_load_metadata(stream_csv(house.spark, raw_dir, RAW_SALES, files_per_batch), SOURCE_SYSTEM)
     return run_available(sales, checkpoint, handle)
