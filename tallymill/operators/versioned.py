@@ -21,6 +21,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -79,6 +80,15 @@ class VersionedTable:
         state = self._version(version)
         return self._read(state, state.folders)
 
+    def partition_values(self, column: str) -> list[str]:
+        """Values of a partition column in the newest version, sorted as text, without null.
+
+        Taken from the folder names; no data is read.
+        """
+        names = {part for folder in self._version().folders for part in folder.split("/")[1:]}
+        found = [unquote(name.removeprefix(f"{column}=")) for name in names if name.startswith(f"{column}=")]
+        return sorted(value for value in found if value != "__HIVE_DEFAULT_PARTITION__")
+
     def diff(self, before: int, after: int, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
         """Rows that differ between two versions.  Folders both versions share are not read."""
         old, new = self._version(before), self._version(after)

@@ -2,7 +2,8 @@
 
 Everything lives below one root folder::
 
-    bronze/sales/load=<id>/ingestion_date=<d>/   raw rows with load metadata
+    bronze/sales/load=<id>/ingestion_date=<d>/transaction_date=<d>/
+                                                 raw rows with load metadata
     silver/{products,stores}                     cleansed masters (snapshots)
     silver/{sales,quarantine}                    versioned tables, partitioned by sale date
     gold/<name>                                  aggregates (snapshots)
@@ -20,6 +21,7 @@ from tallymill.operators import gold
 from tallymill.operators.clean import align_to, calibrate, normalise_sale_types
 from tallymill.operators.dedup import latest_per_key, master_rows
 from tallymill.operators.incremental import since_high_water_mark
+from tallymill.operators.layout import sized_for_write
 from tallymill.operators.validate import REASONS, VALID, flag_rows
 from tallymill.operators.versioned import VersionedTable
 from tallymill.plans.runlog import RunLog
@@ -32,6 +34,7 @@ NEWEST_FIRST = ["ingestion_timestamp", "transaction_timestamp", "source_file"]
 KEYS = ["transaction_id"]
 _SALE_DAY = "transaction_date"
 _DAY = table(f"{_SALE_DAY} date").fields
+_BRONZE = StructType(BRONZE_SALES.fields + _DAY)
 _STORED_SALES = StructType(SILVER_SALES.fields + _DAY)
 _STORED_REJECTS = StructType(SILVER_SALES.fields + _DAY).add(REASONS, ArrayType(StringType()))
 
@@ -90,19 +93,23 @@ class RetailLakehouse:
     def write_bronze(self, rows: DataFrame, load_id: str) -> int:
         """Store one load.  The load has a folder of its own, so repeating it replaces it."""
         path = f"{self.root}/bronze/sales/load={load_id}"
-        dated = rows.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
-        dated.write.mode("overwrite").partitionBy("ingestion_date").parquet(path)
-        return self.spark.read.schema(BRONZE_SALES).parquet(path).count()
+        days = {
+            "ingestion_date": F.to_date("ingestion_timestamp"), _SALE_DAY: F.to_date("transaction_timestamp"),
+        }
+        writer = sized_for_write(rows.withColumns(days), tuple(days)).write.mode("overwrite")
+        writer.partitionBy(*days).parquet(path)
+        return self.bronze_load(load_id).count()
 
     def bronze(self) -> DataFrame:
+        """All loads, with the date of sale, by which a filter chooses among the folders."""
         path = f"{self.root}/bronze/sales"
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], BRONZE_SALES)
-        return read_path(self.spark, path, BRONZE_SALES).select(*BRONZE_SALES.names)
+            return self.spark.createDataFrame([], _BRONZE)
+        return read_path(self.spark, path, _BRONZE).select(*_BRONZE.names)
 
     def bronze_load(self, load_id: str) -> DataFrame:
         path = f"{self.root}/bronze/sales/load={load_id}"
-        return read_path(self.spark, path, BRONZE_SALES).select(*BRONZE_SALES.names)
+        return read_path(self.spark, path, _BRONZE).select(*_BRONZE.names)
 
     # Silver -------------------------------------------------------------------------
 
@@ -113,18 +120,25 @@ class RetailLakehouse:
         """
         with self.log.run("silver_sales_incremental", "silver") as run:
             rows = self.bronze() if batch is None else batch
-            recent = since_high_water_mark(rows, self.silver(), "transaction_timestamp", self.lookback)
+            recent = since_high_water_mark(
+                rows, self._newest_sales(), "transaction_timestamp", self.lookback, day=_SALE_DAY
+            )
             newest = latest_per_key(recent, KEYS, NEWEST_FIRST)
             flagged = flag_sales(newest, self.products(), self.stores())
             run.processed, run.rejected = self._store(flagged)
         return run.processed, run.rejected
 
+    def _newest_sales(self) -> DataFrame:
+        """Silver sales of the last day: the newest timestamp is among them."""
+        days = self.sales.partition_values(_SALE_DAY)
+        last = F.lit(days[-1] if days else None).cast("date")
+        return self.sales.read().where(F.col(_SALE_DAY) == last)
+
     def _store(self, flagged: DataFrame) -> tuple[int, int]:
         # Written once and read for both outputs, instead of classifying twice.
         staged = f"{self.root}/staging/classified"
-        dated = flagged.withColumn(_SALE_DAY, F.to_date("transaction_timestamp"))
-        dated.write.mode("overwrite").partitionBy(VALID).parquet(staged)
-        stored = self.spark.read.schema(dated.schema).parquet(staged)
+        flagged.write.mode("overwrite").partitionBy(VALID).parquet(staged)
+        stored = self.spark.read.schema(flagged.schema).parquet(staged)
         valid, rejected = stored.where(F.col(VALID)), stored.where(~F.col(VALID))
         counts = {row[0]: row[1] for row in stored.groupBy(VALID).count().collect()}
         if counts.get(True):

@@ -48,7 +48,7 @@ def test_narrow_operators_do_not_shuffle(spark, sf_dir):
 def test_high_water_mark_skips_row_groups(spark, tmp_path):
     path = str(tmp_path / "facts")
     stamps = spark.range(0, 100_000, 1, 1).select(
-        F.expr("TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, 0, int(id))").alias("ts"), "id"
+        F.expr("TIMESTAMP '2024-01-01' + make_dt_interval(0, 0, int(id))").alias("ts"), "id"
     )
     stamps.sortWithinPartitions("ts").write.option("parquet.block.size", 100_000).option(
         "parquet.page.size", 10_000
@@ -61,6 +61,18 @@ def test_high_water_mark_skips_row_groups(spark, tmp_path):
     assert kept <= scanned < 50_000
 
 
+def test_high_water_mark_skips_partitions(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    days = spark.range(0, 100).select(
+        F.expr("TIMESTAMP '2024-01-01' + make_dt_interval(int(id))").alias("ts"), "id"
+    ).withColumn("day", F.to_date("ts"))
+    days.write.partitionBy("day").parquet(path)
+    facts = spark.read.schema("ts timestamp, id long, day date").parquet(path)
+    recent = since_high_water_mark(facts, facts, "ts", "2 days", day="day")
+    plan = recent._jdf.queryExecution().executedPlan()
+    assert plan.execute().count() == 3 == _scan_rows(plan)
+
+
 def _scan_rows(plan):
     while not plan.nodeName().startswith("Scan"):
         plan = plan.finalPhysicalPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan.children().head()
