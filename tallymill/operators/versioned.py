@@ -7,9 +7,9 @@ never modified: any version stays readable, with the schema it had.
 
 Layout below the root::
 
-    data/v=<n>/<partition folders>/   rows written by version n
-    history/version=<n>/              one row with the folders version n consists of;
-                                      written last, it makes the version visible
+    data/written_in=<n>/<partition folders>/   rows written by version n
+    history/version=<n>/                       one row with the folders version n consists of;
+                                               written last, it makes the version visible
 
 One writer at a time.  A second writer that lost the race fails when it commits.
 """
@@ -25,18 +25,21 @@ from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tallymill.operators import dml
 from tallymill.operators.layout import clustered, sized_for_write
 from tallymill.schemas import table
 from tallymill.sources.readers import path_exists
 
+_WRITTEN_IN = "written_in"
 _FACTS = table(
     "committed_at timestamp, operation string, detail string, rows_matched long, rows_written long, "
     "folders_rewritten long"
 )
-_HISTORY = StructType(_FACTS.fields).add("schema_json", StringType()).add("folders", ArrayType(StringType()))
+_HISTORY = StructType([
+    *_FACTS.fields, StructField("schema_json", StringType()), StructField("folders", ArrayType(StringType())),
+])
 _HISTORY_ARROW = pa.schema([
     ("committed_at", pa.timestamp("us", tz="UTC")), ("operation", pa.string()), ("detail", pa.string()),
     ("rows_matched", pa.int64()), ("rows_written", pa.int64()), ("folders_rewritten", pa.int64()),
@@ -85,9 +88,9 @@ class VersionedTable:
 
         Taken from the folder names; no data is read.
         """
-        names = {part for folder in self._version().folders for part in folder.split("/")[1:]}
-        found = [unquote(name.removeprefix(f"{column}=")) for name in names if name.startswith(f"{column}=")]
-        return sorted(value for value in found if value != "__HIVE_DEFAULT_PARTITION__")
+        at = self.partition_by.index(column) + 1
+        found = {_partition_key(folder)[at] for folder in self._version().folders}
+        return sorted(found - {None})
 
     def diff(self, before: int, after: int, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
         """Rows that differ between two versions.  Folders both versions share are not read."""
@@ -142,8 +145,8 @@ class VersionedTable:
         if not dml.repeated_keys(source, keys).isEmpty():
             raise ValueError(f"source repeats a key of {list(keys)}")
         schema = self._widened(now.schema, source.schema)
-        located = self._read(now, now.folders, located=True).select(*keys, "_folder")
-        touched = self._count_by_folder(dml.matched(located, source, keys, null_safe))
+        located = self._located(now).select(*keys, *self._place())
+        touched = self._count_by_folder(now, dml.matched(located, source, keys, null_safe))
         kept = dml.unmatched(self._read(now, frozenset(touched)), source, keys, null_safe)
         merged = self._shaped(kept, schema).unionByName(self._shaped(source, schema))
         written = self._write(merged, number)
@@ -167,7 +170,7 @@ class VersionedTable:
     def _rewrite(self, operation: str, detail: Column | str, test: Column, change) -> int:
         now = self._version()
         number = now.number + 1
-        touched = self._count_by_folder(self._read(now, now.folders, located=True).where(test))
+        touched = self._count_by_folder(now, self._located(now).where(test))
         written = 0
         added: frozenset[str] = frozenset()
         if touched:
@@ -189,16 +192,29 @@ class VersionedTable:
         entry = self.spark.read.schema(_HISTORY).parquet(path).select("schema_json", "folders").first()
         return _Version(number, StructType.fromJson(json.loads(entry[0])), frozenset(entry[1]))
 
-    def _read(self, version: _Version, folders: frozenset[str] | set[str], located: bool = False) -> DataFrame:
+    def _read(self, version: _Version, folders: frozenset[str] | set[str]) -> DataFrame:
+        return self._located(version, folders).select(*version.schema.names)
+
+    def _located(self, version: _Version, folders: frozenset[str] | set[str] | None = None) -> DataFrame:
+        """Rows with the version that wrote them, as a small number taken from the folder name."""
+        folders = version.folders if folders is None else folders
+        schema = StructType([*version.schema.fields, StructField(_WRITTEN_IN, LongType())])
         if not folders:
-            empty = self.spark.createDataFrame([], version.schema)
-            return empty.withColumn("_folder", F.lit("")) if located else empty
+            return self.spark.createDataFrame([], schema)
         paths = [f"{self.root}/data/{folder}" for folder in sorted(folders)]
-        rows = (
-            self.spark.read.schema(version.schema).option("basePath", f"{self.root}/data").parquet(*paths)
-        )
-        columns = [F.col(name) for name in version.schema.names]
-        return rows.select(*columns, _folder().alias("_folder")) if located else rows.select(*columns)
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths)
+
+    def _place(self) -> list[Column]:
+        """The folder of a row as columns: writing version and partition values as text."""
+        parts = [F.col(name).cast("string").alias(f"_in_{name}") for name in self.partition_by]
+        return [F.col(_WRITTEN_IN).cast("string").alias(f"_in_{_WRITTEN_IN}"), *parts]
+
+    def _count_by_folder(self, version: _Version, rows: DataFrame) -> dict[str, int]:
+        """Number of given rows in each folder of the version that has any."""
+        place = [f"_in_{name}" for name in (_WRITTEN_IN, *self.partition_by)]
+        located = rows if set(place) <= set(rows.columns) else rows.select(*self._place())
+        names = {_partition_key(folder): folder for folder in version.folders}
+        return {names[tuple(row)[:-1]]: row["count"] for row in located.groupBy(*place).count().collect()}
 
     def _write(self, df: DataFrame, number: int, arranged: bool = False) -> int:
         """Write the rows of a version and count them on the way."""
@@ -207,21 +223,15 @@ class VersionedTable:
         writer = frame.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.root}/data/v={number}")
+        writer.parquet(f"{self.root}/data/{_WRITTEN_IN}={number}")
         return counter.get["rows"]
 
     def _folders_of(self, number: int) -> frozenset[str]:
-        """Folders a version has written; only file names and row counts are read."""
-        base = f"{self.root}/data"
-        found = (
-            self.spark.read.schema(_FACTS).option("basePath", base).parquet(f"{base}/v={number}")
-            .select(_folder().alias("folder")).distinct().collect()
-        )
-        return frozenset(row[0] for row in found)
-
-    @staticmethod
-    def _count_by_folder(rows: DataFrame) -> dict[str, int]:
-        return {row[0]: row[1] for row in rows.groupBy("_folder").count().collect()}
+        """Folders a version has written, from its file names; no data is read."""
+        written = self.spark.read.schema(_FACTS).parquet(f"{self.root}/data/{_WRITTEN_IN}={number}")
+        start = f"{_WRITTEN_IN}={number}/"
+        names = {unquote(name).rpartition("/")[0] + "/" for name in written.inputFiles()}
+        return frozenset(name[name.rindex(start):].rstrip("/") for name in names)
 
     def _commit(self, number: int, operation: str, detail: str, schema: StructType, folders, matched: int,
                 written: int, rewritten: int) -> int:
@@ -254,7 +264,7 @@ def _column(condition: Column | str) -> Column:
     return F.expr(condition) if isinstance(condition, str) else condition
 
 
-def _folder() -> Column:
-    """Folder of a row relative to ``data/``, undoing the URL form of the file name."""
-    url = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.regexp_extract(F.url_decode(url), r"^.*/data/(v=\d+(?:/[^/]+)*)/[^/]+$", 1)
+def _partition_key(folder: str) -> tuple[str | None, ...]:
+    """``written_in=3/country=IN`` -> ("3", "IN"); the name Spark gives to null becomes None."""
+    values = [unquote(part.partition("=")[2]) for part in folder.split("/")]
+    return tuple(None if value == "__HIVE_DEFAULT_PARTITION__" else value for value in values)

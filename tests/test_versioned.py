@@ -45,7 +45,7 @@ def test_update_rewrites_touched_folders_only(book, orders):
     assert entry["operation"] == "UPDATE"
     assert entry["rows_matched"] == orders.where(hit).count()
     assert entry["folders_rewritten"] == orders.where(hit).select("country", "order_date").distinct().count()
-    kept = {name for name in book._version(1).folders if name.startswith("v=0/")}
+    kept = {name for name in book._version(1).folders if name.startswith("written_in=0/")}
     assert kept < book._version(0).folders and len(kept) == len(book._version(0).folders) - entry["folders_rewritten"]
 
 
@@ -149,7 +149,7 @@ def test_partition_filter_reaches_the_scan(book):
 
 
 def test_unfinished_version_is_invisible(book, orders, tmp_path):
-    orders.write.parquet(str(tmp_path / "book" / "data" / "v=1"))
+    orders.write.parquet(str(tmp_path / "book" / "data" / "written_in=1"))
     assert book.latest_version() == 0
     assert rows(book.read()) == rows(orders)
     with pytest.raises(ValueError, match="no version 1"):
