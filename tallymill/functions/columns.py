@@ -24,6 +24,7 @@ def whole_week(timestamp: Column | str) -> Column:
 
 
 def first_of_month(timestamp: Column | str) -> Column:
+    """First day of the month as a DATE."""
     return F.trunc(_col(timestamp).cast("date"), "month")
 
 

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def since_high_water_mark(df: DataFrame, target: DataFrame, timestamp: str, lookback: str = "2 days",
-                          day: str | None = None) -> DataFrame:
+                          period: str | None = None, period_of: Callable[[Column], Column] = F.to_date) -> DataFrame:
     """Rows not older than the target's newest timestamp minus the look-back.
 
     With no timestamp in the target yet, all rows are taken, those without a timestamp
     too; later runs drop rows without one.  The bound is computed inside a subquery: the
     filter then compares the bare column with one value, by which the scan skips files
-    and row groups.  ``day`` names a column holding the date of the timestamp; where
-    ``df`` is partitioned by it, older partitions are not read.
+    and row groups.  ``period`` names a column holding ``period_of(timestamp)``, the date
+    or the month; where ``df`` is partitioned by it, older partitions are not read.
     """
     if target.where(F.col(timestamp).isNotNull()).isEmpty():
         return df
     bound = F.max(timestamp) - F.expr(f"INTERVAL {lookback}")
     recent = df.where(F.col(timestamp) >= target.agg(bound.alias("bound")).scalar())
-    if day is not None:
-        recent = recent.where(F.col(day) >= target.agg(bound.cast("date").alias("bound")).scalar())
+    if period is not None:
+        recent = recent.where(F.col(period) >= target.agg(period_of(bound).alias("bound")).scalar())
     return recent

@@ -1,11 +1,12 @@
 """Retail medallion: raw CSV to bronze, validated silver with quarantine, gold tables.
 
+The period is the date or the month of sale, whichever gives partitions of a good size.
 Everything lives below one root folder::
 
-    bronze/sales/load=<id>/ingestion_date=<d>/transaction_date=<d>/
+    bronze/sales/load=<id>/ingestion_date=<d>/transaction_period=<d>/
                                                  raw rows with load metadata
     silver/{products,stores}                     cleansed masters (snapshots)
-    silver/{sales,quarantine}                    versioned tables, partitioned by sale date
+    silver/{sales,quarantine}                    versioned tables, partitioned like bronze
     gold/<name>                                  aggregates (snapshots)
     logs                                         run log
 """
@@ -17,6 +18,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
+from tallymill.functions.columns import first_of_month
 from tallymill.operators import gold
 from tallymill.operators.clean import align_to, calibrate, normalise_sale_types
 from tallymill.operators.dedup import latest_per_key, master_rows
@@ -32,11 +34,12 @@ from tallymill.sources.readers import path_exists, read_csv, read_path, with_loa
 SOURCE_SYSTEM = "retail_sales_csv"
 NEWEST_FIRST = ["ingestion_timestamp", "transaction_timestamp", "source_file"]
 KEYS = ["transaction_id"]
-_SALE_DAY = "transaction_date"
-_DAY = table(f"{_SALE_DAY} date").fields
-_BRONZE = StructType(BRONZE_SALES.fields + _DAY)
-_STORED_SALES = StructType(SILVER_SALES.fields + _DAY)
-_STORED_REJECTS = StructType(SILVER_SALES.fields + _DAY).add(REASONS, ArrayType(StringType()))
+_PERIOD = "transaction_period"
+_PERIOD_FIELD = table(f"{_PERIOD} date").fields
+_PERIODS = {"day": F.to_date, "month": first_of_month}
+_BRONZE = StructType(BRONZE_SALES.fields + _PERIOD_FIELD)
+_STORED_SALES = StructType(SILVER_SALES.fields + _PERIOD_FIELD)
+_STORED_REJECTS = StructType(SILVER_SALES.fields + _PERIOD_FIELD).add(REASONS, ArrayType(StringType()))
 
 
 def flag_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
@@ -49,13 +52,14 @@ def flag_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> Data
 
 
 class RetailLakehouse:
-    def __init__(self, spark: SparkSession, root: str, lookback: str = "2 days"):
+    def __init__(self, spark: SparkSession, root: str, lookback: str = "2 days", period: str = "day"):
         self.spark = spark
+        self.period_of = _PERIODS[period]
         self.root = root.rstrip("/")
         self.lookback = lookback
         self.log = RunLog(spark, f"{self.root}/logs")
-        self.sales = VersionedTable(spark, f"{self.root}/silver/sales", (_SALE_DAY,))
-        self.quarantine = VersionedTable(spark, f"{self.root}/silver/quarantine", (_SALE_DAY,))
+        self.sales = VersionedTable(spark, f"{self.root}/silver/sales", (_PERIOD,))
+        self.quarantine = VersionedTable(spark, f"{self.root}/silver/quarantine", (_PERIOD,))
 
     def create(self, reset: bool = False) -> None:
         """Create absent tables; ``reset`` starts the silver tables and the log anew."""
@@ -93,15 +97,16 @@ class RetailLakehouse:
     def write_bronze(self, rows: DataFrame, load_id: str) -> int:
         """Store one load.  The load has a folder of its own, so repeating it replaces it."""
         path = f"{self.root}/bronze/sales/load={load_id}"
-        days = {
-            "ingestion_date": F.to_date("ingestion_timestamp"), _SALE_DAY: F.to_date("transaction_timestamp"),
+        folders = {
+            "ingestion_date": F.to_date("ingestion_timestamp"),
+            _PERIOD: self.period_of(F.col("transaction_timestamp")),
         }
-        writer = sized_for_write(rows.withColumns(days), tuple(days)).write.mode("overwrite")
-        writer.partitionBy(*days).parquet(path)
+        writer = sized_for_write(rows.withColumns(folders), tuple(folders)).write.mode("overwrite")
+        writer.partitionBy(*folders).parquet(path)
         return self.bronze_load(load_id).count()
 
     def bronze(self) -> DataFrame:
-        """All loads, with the date of sale, by which a filter chooses among the folders."""
+        """All loads, with the period of sale, by which a filter chooses among the folders."""
         path = f"{self.root}/bronze/sales"
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], _BRONZE)
@@ -121,7 +126,7 @@ class RetailLakehouse:
         with self.log.run("silver_sales_incremental", "silver") as run:
             rows = self.bronze() if batch is None else batch
             recent = since_high_water_mark(
-                rows, self._newest_sales(), "transaction_timestamp", self.lookback, day=_SALE_DAY
+                rows, self._newest_sales(), "transaction_timestamp", self.lookback, _PERIOD, self.period_of
             )
             newest = latest_per_key(recent, KEYS, NEWEST_FIRST)
             flagged = flag_sales(newest, self.products(), self.stores())
@@ -129,10 +134,10 @@ class RetailLakehouse:
         return run.processed, run.rejected
 
     def _newest_sales(self) -> DataFrame:
-        """Silver sales of the last day: the newest timestamp is among them."""
-        days = self.sales.partition_values(_SALE_DAY)
-        last = F.lit(days[-1] if days else None).cast("date")
-        return self.sales.read().where(F.col(_SALE_DAY) == last)
+        """Silver sales of the last period: the newest timestamp is among them."""
+        periods = self.sales.partition_values(_PERIOD)
+        last = F.lit(periods[-1] if periods else None).cast("date")
+        return self.sales.read().where(F.col(_PERIOD) == last)
 
     def _store(self, flagged: DataFrame) -> tuple[int, int]:
         # Written once and read for both outputs, instead of classifying twice.

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymill.functions.columns import first_of_month
-from tallymill.operators import aggregate, clean, dedup, describe as stats, timeintel
+from tallymill.operators import aggregate, clean, dedup, describe as stats, joins, timeintel
 from tallymill.queries.registry import CALIBRATED, RUN_LOG, SALES, TOTAL, TRIPS, query
-from tallymill.plans import runlog
+from tallymill.plans import runlog, taxi
 from tallymill.session import scratch_path
 from tallymill.sinks import writers
 from tallymill.sources import readers, star
@@ -155,6 +155,22 @@ def suspicious_rides(spark, sf_dir):
     return clean.flag_suspicious(clean.ride_metrics(star.trips(spark, sf_dir))).select("trip_id", "leg", *flags)
 
 
+@query(f"{_RIDES} SELECT trip_id, leg, fare_per_km FROM rides WHERE fare_per_km > 10 OR (trip_distance < 1 AND fare_amount > 25)")
+def suspicious_only(spark, sf_dir):
+    flagged = clean.flag_suspicious(clean.ride_metrics(star.trips(spark, sf_dir)))
+    return flagged.where("is_suspicious_ride").select("trip_id", "leg", "fare_per_km")
+
+
+@query(f"""{_RIDES} SELECT CAST(date_trunc('week', pickup_datetime) AS DATE) AS week_start, count(*) AS total_trips,
+CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
+CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) / count(fare_amount) AS avg_fare_amount,
+CAST(sum(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / count(trip_distance) AS avg_trip_distance
+FROM rides GROUP BY 1""")
+def weekly_rides(spark, sf_dir):
+    rides = clean.ride_metrics(star.trips(spark, sf_dir))
+    return aggregate.weekly_rollup(rides, "pickup_datetime", "fare_amount", taxi.AVERAGES)
+
+
 @query("""SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS total_trips,
 CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
 CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) / count(value) AS avg_fare_amount,
@@ -182,6 +198,12 @@ def bottom20(spark, sf_dir):
     )
 
 
+@query("SELECT count(*) AS row_count FROM (SELECT * FROM orders LIMIT 20)")
+def limited_rows(spark, sf_dir):
+    """Any twenty rows: only their number is defined."""
+    return writers.row_count(writers.preview(star.load(spark, sf_dir, "orders"), 20))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey")
 def sorted_rows(spark, sf_dir):
     return star.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy("o_totalprice", "o_orderkey")
@@ -196,6 +218,14 @@ def calendar(spark, sf_dir):
     return timeintel.calendar(star.load(spark, sf_dir, "orders"), "o_orderdate")
 
 
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, CAST(year(o_orderdate) AS INTEGER) AS year,
+CAST(month(o_orderdate) AS INTEGER) AS month, CAST(date_trunc('week', o_orderdate) AS DATE) AS week_start FROM orders""")
+def calendar_star_join(spark, sf_dir):
+    """Facts with the columns of their calendar day."""
+    orders = star.load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
+    return joins.enrich(orders, {"date": timeintel.calendar(orders, "date")})
+
+
 @query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
 CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start FROM orders""")
 def date_parts(spark, sf_dir):

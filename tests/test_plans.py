@@ -68,7 +68,7 @@ def test_high_water_mark_skips_partitions(spark, tmp_path):
     ).withColumn("day", F.to_date("ts"))
     days.write.partitionBy("day").parquet(path)
     facts = spark.read.schema("ts timestamp, id long, day date").parquet(path)
-    recent = since_high_water_mark(facts, facts, "ts", "2 days", day="day")
+    recent = since_high_water_mark(facts, facts, "ts", "2 days", period="day")
     plan = recent._jdf.queryExecution().executedPlan()
     assert plan.execute().count() == 3 == _scan_rows(plan)
 
