@@ -57,8 +57,12 @@ def all_of(conditions: list[Column]) -> Column:
     return met
 
 
-def epoch_millis(timestamp: Column | str) -> Column:
-    return F.unix_millis(_col(timestamp).cast("timestamp"))
+def epoch_millis(timestamp: Column | str, zoned: bool = False) -> Column:
+    """Milliseconds since 1970.  Dates and zone-less timestamps are taken as UTC."""
+    if zoned:
+        return F.unix_millis(_col(timestamp))
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_diff("MILLISECOND", start, _col(timestamp).cast("timestamp_ntz"))
 
 
 def _col(column: Column | str) -> Column:

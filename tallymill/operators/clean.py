@@ -11,6 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymill.fixed_values import HIGH_FARE, SHORT_TRIP_KM, SUSPICIOUS_FARE_PER_KM
 from tallymill.functions.columns import minutes_between, net_total, ratio_if_positive
 
 SILVER_TYPES = {"quantity": "int", "unit_price": "double", "discount": "double", "total_amount": "double"}
@@ -76,8 +77,8 @@ def ride_metrics(trips: DataFrame) -> DataFrame:
 
 def flag_suspicious(rides: DataFrame) -> DataFrame:
     """Three-valued flags: a null input gives a null flag unless the other one is true."""
-    dear = F.col("fare_per_km") > 10.0
-    short = (F.col("trip_distance") < 1.0) & (F.col("fare_amount") > 25.0)
+    dear = F.col("fare_per_km") > SUSPICIOUS_FARE_PER_KM
+    short = (F.col("trip_distance") < SHORT_TRIP_KM) & (F.col("fare_amount") > HIGH_FARE)
     return rides.withColumns({
         "suspicious_fare_per_km": dear,
         "short_trip_high_fare": short,

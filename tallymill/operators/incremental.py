@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymill.fixed_values import LOOKBACK
 
-def since_high_water_mark(df: DataFrame, target: DataFrame, timestamp: str, lookback: str = "2 days",
+
+def since_high_water_mark(df: DataFrame, target: DataFrame, timestamp: str, lookback: str = LOOKBACK,
                           period: str | None = None, period_of: Callable[[Column], Column] = F.to_date) -> DataFrame:
     """Rows not older than the target's newest timestamp minus the look-back.
 

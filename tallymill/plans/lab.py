@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallymill.fixed_values import LAB_FILLS
 from tallymill.operators.clean import fill_nulls
 from tallymill.schemas import LAB_SALES
 from tallymill.sinks.writers import write_json_records
 from tallymill.sources.readers import read_csv
 
-FILLS = {"customer_id": 0, "promo_code": "NO CODE"}
-
 
 def clean_lab_sales(raw: DataFrame) -> DataFrame:
-    dated = raw.withColumn("date", F.to_timestamp("date"))
-    return fill_nulls(dated, FILLS, {"customer_id": "bigint"})
+    dated = raw.withColumn("date", F.col("date").cast("timestamp_ntz"))
+    return fill_nulls(dated, LAB_FILLS, {"customer_id": "bigint"})
 
 
 def run(spark: SparkSession, csv_path: str, json_path: str) -> DataFrame:

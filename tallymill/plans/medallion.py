@@ -18,6 +18,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
+from tallymill.fixed_values import (
+    BRONZE_LAYER, BRONZE_PIPELINE, LOOKBACK, SILVER_LAYER, SILVER_PIPELINE, SOURCE_SYSTEM,
+)
 from tallymill.functions.columns import first_of_month
 from tallymill.operators import gold
 from tallymill.operators.clean import align_to, calibrate, normalise_sale_types
@@ -31,7 +34,6 @@ from tallymill.schemas import BRONZE_SALES, PRODUCTS, RAW_SALES, SILVER_SALES, S
 from tallymill.sinks.writers import overwrite_path
 from tallymill.sources.readers import path_exists, read_csv, read_path, with_load_metadata
 
-SOURCE_SYSTEM = "retail_sales_csv"
 NEWEST_FIRST = ["ingestion_timestamp", "transaction_timestamp", "source_file"]
 KEYS = ["transaction_id"]
 _PERIOD = "transaction_period"
@@ -52,7 +54,7 @@ def flag_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> Data
 
 
 class RetailLakehouse:
-    def __init__(self, spark: SparkSession, root: str, lookback: str = "2 days", period: str = "day"):
+    def __init__(self, spark: SparkSession, root: str, lookback: str = LOOKBACK, period: str = "day"):
         self.spark = spark
         self.period_of = _PERIODS[period]
         self.root = root.rstrip("/")
@@ -88,7 +90,7 @@ class RetailLakehouse:
 
         ``tallymill.streaming`` has the form that takes only files not seen before.
         """
-        with self.log.run("bronze_sales_ingestion", "bronze") as run:
+        with self.log.run(BRONZE_PIPELINE, BRONZE_LAYER) as run:
             rows = with_load_metadata(read_csv(self.spark, raw, RAW_SALES), SOURCE_SYSTEM)
             load_id = datetime.now(timezone.utc).strftime("batch-%Y%m%dT%H%M%S%f")
             run.processed = self.write_bronze(rows, load_id)
@@ -123,7 +125,7 @@ class RetailLakehouse:
 
         ``batch`` limits the input to given bronze rows; by default all bronze is looked at.
         """
-        with self.log.run("silver_sales_incremental", "silver") as run:
+        with self.log.run(SILVER_PIPELINE, SILVER_LAYER) as run:
             rows = self.bronze() if batch is None else batch
             recent = since_high_water_mark(
                 rows, self._newest_sales(), "transaction_timestamp", self.lookback, _PERIOD, self.period_of

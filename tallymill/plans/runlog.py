@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallymill.fixed_values import FAILED, SUCCESS
 from tallymill.schemas import RUN_LOG
 from tallymill.sinks.writers import append_path, create_if_absent
 from tallymill.sources.readers import read_path, rows_to_table
@@ -42,10 +43,10 @@ class RunLog:
         try:
             yield counts
         except Exception as error:
-            self.append(pipeline, layer, start, datetime.now(timezone.utc), "FAILED", 0, 0, str(error))
+            self.append(pipeline, layer, start, datetime.now(timezone.utc), FAILED, 0, 0, str(error))
             raise
         self.append(
-            pipeline, layer, start, datetime.now(timezone.utc), "SUCCESS", counts.processed, counts.rejected
+            pipeline, layer, start, datetime.now(timezone.utc), SUCCESS, counts.processed, counts.rejected
         )
 
     def read(self) -> DataFrame:
@@ -61,7 +62,7 @@ def of_layer(log: DataFrame, layer: str) -> DataFrame:
 
 
 def failed_runs(log: DataFrame) -> DataFrame:
-    return log.where(F.col("status") == "FAILED")
+    return log.where(F.col("status") == FAILED)
 
 
 def latest_run(log: DataFrame, *tie_break: str) -> DataFrame:

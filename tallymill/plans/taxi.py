@@ -4,48 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tallymill.fixed_values import (
+    BAD_DISTANCE, TAXI_BRONZE, TAXI_CLEAN, TAXI_DATABASE, TAXI_SUSPICIOUS, TAXI_TOP, TAXI_WEEKLY, TOP_FARES,
+)
 from tallymill.operators.aggregate import top_rows, weekly_rollup
 from tallymill.operators.clean import count_side_by_side, count_where, flag_suspicious, ride_metrics
 from tallymill.schemas import TAXI_TRIPS
 from tallymill.sinks.writers import overwrite_table, use_database
 from tallymill.sources.readers import read_csv
 
-BAD_DISTANCE = "trip_distance <= 0 OR trip_distance IS NULL"
 AVERAGES = [("fare_amount", "avg_fare_amount"), ("trip_distance", "avg_trip_distance")]
 
-BRONZE = "taxi_bronze"
-CLEAN = "taxi_silver_clean"
-SUSPICIOUS = "taxi_silver_suspicious_rides"
-WEEKLY = "taxi_silver_weekly_aggregates"
-TOP = "taxi_gold_top3_highest_fares"
-
 
 def weekly(rides: DataFrame) -> DataFrame:
     return weekly_rollup(rides, "pickup_datetime", "total_amount", AVERAGES)
 
 
-def top_fares(rides: DataFrame, k: int = 3) -> DataFrame:
+def top_fares(rides: DataFrame, k: int = TOP_FARES) -> DataFrame:
     """The ``k`` highest fares with their rank; equal fares are ordered by trip id."""
     # The window sees the k rows left by the limit.
     rank = F.row_number().over(Window.orderBy(F.col("fare_amount").desc_nulls_last(), "trip_id"))
     return top_rows(rides.select(*TAXI_TRIPS.names), "fare_amount", ["trip_id"], k).withColumn("rank", rank)
 
 
-def run(spark: SparkSession, csv_dir: str, database: str = "taxi_etl_db") -> None:
+def run(spark: SparkSession, csv_dir: str, database: str = TAXI_DATABASE) -> None:
     use_database(spark, database)
     raw = read_csv(spark, csv_dir, TAXI_TRIPS)
-    overwrite_table(raw.withColumn("ingest_time", F.current_timestamp()), BRONZE)
-    overwrite_table(ride_metrics(spark.table(BRONZE)), CLEAN)
-    clean = spark.table(CLEAN)
-    overwrite_table(flag_suspicious(clean), SUSPICIOUS)
-    overwrite_table(weekly(clean), WEEKLY)
-    overwrite_table(top_fares(clean), TOP)
+    overwrite_table(raw.withColumn("ingest_time", F.current_timestamp()), TAXI_BRONZE)
+    overwrite_table(ride_metrics(spark.table(TAXI_BRONZE)), TAXI_CLEAN)
+    clean = spark.table(TAXI_CLEAN)
+    overwrite_table(flag_suspicious(clean), TAXI_SUSPICIOUS)
+    overwrite_table(weekly(clean), TAXI_WEEKLY)
+    overwrite_table(top_fares(clean), TAXI_TOP)
 
 
 def layer_counts(spark: SparkSession) -> DataFrame:
-    return count_side_by_side(bronze_count=spark.table(BRONZE), silver_clean_count=spark.table(CLEAN))
+    return count_side_by_side(bronze_count=spark.table(TAXI_BRONZE), silver_clean_count=spark.table(TAXI_CLEAN))
 
 
 def bad_trips(spark: SparkSession) -> DataFrame:
     """Rule check on the clean table: must be zero."""
-    return count_where(spark.table(CLEAN), BAD_DISTANCE, "bad_trips_in_silver")
+    return count_where(spark.table(TAXI_CLEAN), BAD_DISTANCE, "bad_trips_in_silver")

@@ -22,12 +22,17 @@ RUNTIME_CONF = {
 }
 
 
+# Rounds of tasks a full-size shuffle is cut into on a cluster.  Adaptive execution merges
+# partitions that turn out small, but it cannot cut a shuffle finer than it began.
+_ROUNDS = 8
+
+
 def build_session(app_name: str = "tallymill", master: str | None = None, **conf: str) -> SparkSession:
-    """Create or reuse a session.
+    """Create or reuse a session with the settings above.
 
-    On a cluster leave ``master`` unset: master, memory and the initial number of shuffle
-    partitions then come from spark-submit.  In local mode the number of shuffle
-    partitions follows the cores.
+    On a cluster leave ``master`` unset: master, memory and executors then come from
+    spark-submit, and shuffles start with several partitions per core.  In local mode the
+    number of shuffle partitions follows the cores.
     """
     builder = SparkSession.builder.appName(app_name)
     settings = dict(RUNTIME_CONF)
@@ -42,7 +47,19 @@ def build_session(app_name: str = "tallymill", master: str | None = None, **conf
     settings.update({key: str(value) for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(initial, None) is None:
+        spark.conf.set(initial, str(max(_cluster_cores(spark) * _ROUNDS, 200)))
+    return spark
+
+
+def _cluster_cores(spark: SparkSession) -> int:
+    """Cores the application may get, from its settings, or else those registered so far."""
+    conf = spark.sparkContext.getConf()
+    executors = int(conf.get("spark.executor.instances", conf.get("spark.dynamicAllocation.maxExecutors", "0")))
+    cores = executors * int(conf.get("spark.executor.cores", "1"))
+    return max(cores, spark.sparkContext.defaultParallelism)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

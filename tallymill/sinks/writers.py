@@ -16,10 +16,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_json_records(df: DataFrame, path: str) -> None:
     """JSON Lines; dates and timestamps become epoch milliseconds."""
+    kinds = {field.name: field.dataType.typeName() for field in df.schema.fields}
     clock = {
-        field.name: epoch_millis(field.name)
-        for field in df.schema.fields
-        if field.dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+        name: epoch_millis(name, zoned=kind == "timestamp")
+        for name, kind in kinds.items() if kind in ("date", "timestamp", "timestamp_ntz")
     }
     frame = df.withColumns(clock) if clock else df
     frame.write.mode("overwrite").option("ignoreNullFields", False).json(path)

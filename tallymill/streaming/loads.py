@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tallymill.fixed_values import BRONZE_LAYER, BRONZE_PIPELINE, SOURCE_SYSTEM
 from tallymill.operators.dedup import latest_per_key
 from tallymill.operators.dml import matched
 from tallymill.operators.versioned import VersionedTable
-from tallymill.plans.medallion import SOURCE_SYSTEM, RetailLakehouse
+from tallymill.plans.medallion import RetailLakehouse
 from tallymill.schemas import RAW_SALES
 from tallymill.sources.readers import with_load_metadata
 
@@ -72,7 +73,7 @@ def stream_medallion(house: RetailLakehouse, raw_dir: str, checkpoint: str, file
     """
     def handle(batch: DataFrame, number: int) -> None:
         load_id = f"stream-{number}"
-        with house.log.run("bronze_sales_ingestion", "bronze") as run:
+        with house.log.run(BRONZE_PIPELINE, BRONZE_LAYER) as run:
             run.processed = house.write_bronze(batch, load_id)
         house.refresh_silver(None if recheck else house.bronze_load(load_id))
 

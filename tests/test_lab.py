@@ -6,6 +6,7 @@ import json
 import pytest
 from conftest import rows
 
+from tallymill.fixed_values import HIGH_VALUE_TOTAL
 from tallymill.operators import aggregate, clean, dedup
 from tallymill.operators.describe import describe
 from tallymill.plans import lab
@@ -55,7 +56,7 @@ def test_sums_and_mean(sales):
 
 
 def test_filters(sales):
-    assert rows(clean.above(sales, "total", 5), "transaction_id") == [(1001,), (1004,), (1006,)]
+    assert rows(clean.above(sales, "total", HIGH_VALUE_TOTAL), "transaction_id") == [(1001,), (1004,), (1006,)]
     assert clean.slicer(sales, store_name=["Suburb"], promo_code=None).count() == 4
 
 

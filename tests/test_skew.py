@@ -1,0 +1,75 @@
+"""A third of the rows share one key and masters are too large to broadcast."""
+
+from contextlib import contextmanager
+
+import pytest
+from conftest import final_plan, rows
+from pyspark.sql import functions as F
+
+from tallymill.operators import dml, joins, validate
+
+
+@contextmanager
+def settings(spark, **conf):
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture()
+def shuffled_joins(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with settings(spark, **conf):
+        yield
+
+
+def _facts(spark):
+    return spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 2000).alias("product_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"), F.lit(1).alias("quantity"),
+    )
+
+
+def _master(spark):
+    return spark.range(0, 1500, 1, 4).select(F.col("id").alias("product_id"), F.col("id").cast("string").alias("name"))
+
+
+@pytest.mark.parametrize("join", [
+    lambda facts, master: joins.enrich(facts, {"product_id": master}),
+    lambda facts, master: joins.with_known_key(facts, master, "product_id"),
+    lambda facts, master: joins.without_keys_of(facts, master, ["product_id"]),
+    lambda facts, master: validate.flag_rows(facts, {"product_id": master}, {}),
+], ids=["left", "semi", "anti", "flag"])
+def test_hot_key_is_split_and_nothing_is_lost(join, spark, shuffled_joins):
+    facts = _facts(spark)
+    result = join(facts, _master(spark))
+    assert "SortMergeJoin(skew=true)" in final_plan(result)
+    known = facts.where("product_id < 1500").count()
+    count = result.count()
+    if validate.VALID in result.columns:
+        assert count == 60_000 and result.where(validate.VALID).count() == known
+    else:
+        assert count in (60_000, known, 60_000 - known)
+        assert count == result.select("transaction_id").distinct().count()
+
+
+def test_upsert_into_a_hot_key(spark, shuffled_joins):
+    target = _facts(spark).select("transaction_id", "product_id", "payload")
+    source = spark.createDataFrame([(-1, 7, "new"), (-2, 5000, "new")], "transaction_id long, product_id long, payload string")
+    merged = dml.upsert_rows(target, source, ["product_id"])
+    assert merged.count() == target.where("product_id <> 7").count() + 2
+    assert rows(merged.where("payload = 'new'"), "product_id") == [(5000,), (7,)]

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tallymill import fixed_values as values
 from tallymill.plans import runlog, taxi
 from tallymill.plans.runlog import RunLog
 from tallymill.schemas import RUN_LOG, TAXI_TRIPS, table
@@ -28,17 +29,17 @@ def test_taxi_pipeline(spark, tmp_path):
     assert spark.catalog.currentDatabase() == "taxi_test"
     assert taxi.layer_counts(spark).first().asDict() == {"bronze_count": 50, "silver_clean_count": 30}
     assert taxi.bad_trips(spark).first()[0] == 0
-    clean = spark.table(taxi.CLEAN)
+    clean = spark.table(values.TAXI_CLEAN)
     assert clean.where("trip_id = 'trip_7'").first()["ride_duration_min"] == 7.0
     assert clean.where("trip_id = 'trip_4'").first()["fare_per_km"] == pytest.approx(0.7)
-    flagged = spark.table(taxi.SUSPICIOUS)
+    flagged = spark.table(values.TAXI_SUSPICIOUS)
     want = [d for d in data if d[5] > 0 and (d[6] / d[5] > 10 or (d[5] < 1 and d[6] > 25))]
     assert flagged.where("is_suspicious_ride").count() == len(want)
-    weeks = rows(spark.table(taxi.WEEKLY), "week_start", "total_trips")
+    weeks = rows(spark.table(values.TAXI_WEEKLY), "week_start", "total_trips")
     assert [str(week) for week, _ in weeks] == ["2024-01-01", "2024-01-08"] and sum(n for _, n in weeks) == 30
-    assert rows(spark.table(taxi.TOP), "rank", "trip_id") == [(1, "trip_49"), (2, "trip_48"), (3, "trip_47")]
+    assert rows(spark.table(values.TAXI_TOP), "rank", "trip_id") == [(1, "trip_49"), (2, "trip_48"), (3, "trip_47")]
     taxi.run(spark, str(tmp_path / "raw"), "taxi_test")
-    assert spark.table(taxi.BRONZE).count() == 50
+    assert spark.table(values.TAXI_BRONZE).count() == 50
     spark.catalog.setCurrentDatabase("default")
 
 
