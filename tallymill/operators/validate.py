@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymill.functions.columns import holds
+from tallymill.functions.columns import all_of, holds
 
 REASONS = "reject_reasons"
 VALID = "is_valid"
@@ -28,9 +28,14 @@ def flag_rows(df: DataFrame, masters: Mapping[str, DataFrame], rules: Mapping[st
         df = df.join(known, key, "left")
         tests[f"unknown_{key}"] = F.col(mark)
     tests.update(rules)
+    # ``is_valid`` is a plain conjunction rather than "no reasons": a filter on it is split
+    # into its terms, which turns the joins into inner ones and drops the reasons.
     reasons = [F.when(~holds(test), F.lit(reason)) for reason, test in tests.items()]
-    flagged = df.select(*columns, F.array_compact(F.array(*reasons)).alias(REASONS))
-    return flagged.withColumn(VALID, F.size(REASONS) == 0)
+    return df.select(
+        *columns,
+        F.array_compact(F.array(*reasons)).alias(REASONS),
+        all_of([holds(test) for test in tests.values()]).alias(VALID),
+    )
 
 
 def valid_rows(flagged: DataFrame) -> DataFrame:
