@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import byte_bpe
+from tallymill.llm import byte_bpe, secrets, toxicity, unigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +27,43 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _listed(spans, kinds=None):
+    """Spans as ``kind:start:end`` joined by commas."""
+    if kinds:
+        spans = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole document."""
+    base = [rule.kind for rule in secrets.BASE_RULES]
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, base),
+        F.sha2(_listed(F.col("spans"), base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every whole document."""
+    return unigram.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, from a model fitted on the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.severity(docs.select("doc_id", "text"), model).select("doc_id", "severity", "is_toxic")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_secrets": op2_secrets,
     "op3_byte_bpe": op3_byte_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
