@@ -52,3 +52,11 @@ def map_texts(
 
     fields = schema.replace(";", ",")
     return id_and_text(docs, id_col, text_col).mapInArrow(run, f"doc_id long, {fields}")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have yet, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import byte_bpe, secrets, toxicity, unigram
+from tallymill.llm import byte_bpe, exact_dedup, mixing, secrets, toxicity, unigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,11 +47,61 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copies of all documents when sources are to have shares after the square root of their sizes."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs.select("doc_id", "source"), mixing.target_rates(docs)).select("doc_id", "source", "copy", "shuffle_key")
+
+
+OP4_SQL = """
+WITH RECURSIVE sizes AS (
+  SELECT source, sum(greatest(length(coalesce(text, '')), 1))::BIGINT AS size FROM documents GROUP BY source),
+whole AS (SELECT sum(size)::DOUBLE AS all_size, sum(pow(size, 0.5)) AS all_weight FROM sizes),
+means AS (
+  SELECT source, rate, greatest(ceil(rate / 300.0), 1)::INTEGER AS draws, rate / greatest(ceil(rate / 300.0), 1)::INTEGER AS mean
+  FROM (SELECT source, pow(size, 0.5) / all_weight * all_size / size AS rate FROM sizes, whole)),
+below AS (
+  SELECT source, mean, 0 AS k, exp(-mean) AS p, exp(-mean) AS c FROM means
+  UNION ALL
+  SELECT source, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM below WHERE k < ceil(mean + 12 * sqrt(mean) + 24)),
+draws AS (
+  SELECT doc_id, d.source, unnest(generate_series(1, draws)) AS draw
+  FROM (SELECT DISTINCT doc_id, source FROM documents) d JOIN means m ON d.source IS NOT DISTINCT FROM m.source),
+numbers AS (
+  SELECT *, CAST('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || draw), 1, 13) AS BIGINT)::DOUBLE / pow(2.0, 52) AS u
+  FROM draws),
+drawn AS (
+  SELECT n.doc_id, n.source, n.draw, count(*) FILTER (WHERE c <= u) AS n
+  FROM numbers n JOIN below b ON n.source IS NOT DISTINCT FROM b.source GROUP BY ALL),
+totals AS (SELECT doc_id, source, sum(n)::BIGINT AS n FROM drawn GROUP BY ALL),
+copies AS (
+  SELECT d.doc_id, d.source, unnest(generate_series(1, n))::INTEGER AS copy
+  FROM documents d JOIN totals t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, copy, md5('order:17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy) AS shuffle_key FROM copies
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram tokens of every whole document."""
     return unigram.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its group of equal texts."""
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH cleaned AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+ranked AS (
+  SELECT doc_id, norm, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+         row_number() OVER w AS place
+  FROM cleaned WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST ROWS UNBOUNDED PRECEDING))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM ranked
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document, from a model fitted on the labelled ones."""
     docs = table(spark, sf_dir, "documents")
@@ -62,8 +112,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_secrets": op2_secrets,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_mixing": op4_mixing,
     "op7_token_counts": op7_token_counts,
+    "op8_exact_dedup": op8_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": OP4_SQL,
+    "op8_exact_dedup": OP8_SQL,
+}
