@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import byte_bpe, exact_dedup, mixing, secrets, toxicity, unigram
+from tallymill.llm import byte_bpe, exact_dedup, jaccard, mixing, secrets, toxicity, unigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +102,11 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha2
 """
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near copies."""
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document, from a model fitted on the labelled ones."""
     docs = table(spark, sf_dir, "documents")
@@ -115,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
 }
 
