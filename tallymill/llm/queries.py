@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import byte_bpe, exact_dedup, jaccard, mixing, secrets, toxicity, unigram
+from tallymill.llm import byte_bpe, exact_dedup, jaccard, line_runs, mixing, secrets, toxicity, unigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,31 @@ SELECT doc_id, source, copy, md5('order:17:' || coalesce(doc_id::VARCHAR, 'null'
 """
 
 
+def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of runs of lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.delete_repeated_runs(docs).select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("deleted").cast("long").alias("n_deleted"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+OP5_SQL = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+places AS (SELECT doc_id, lines, unnest(range(len(lines))) AS i FROM split),
+windows AS (SELECT doc_id, i, lines[i + 1] AS line, lines[i + 2] AS next FROM places WHERE i + 1 < len(lines)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, i) AS copy FROM windows)
+  WHERE copy > 1),
+gone AS (SELECT doc_id, i FROM later UNION SELECT doc_id, i + 1 FROM later),
+marked AS (SELECT p.doc_id, p.i, p.lines[p.i + 1] AS line, g.i IS NOT NULL AS deleted
+           FROM places p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE deleted) AS n_deleted,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT deleted), '')) AS text_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram tokens of every whole document."""
     return unigram.count_tokens(table(spark, sf_dir, "documents"))
@@ -118,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op2_secrets": op2_secrets,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
+    "op5_line_runs": op5_line_runs,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard": op9_jaccard,
@@ -126,5 +152,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op4_mixing": OP4_SQL,
+    "op5_line_runs": OP5_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
