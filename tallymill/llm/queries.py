@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import byte_bpe, exact_dedup, jaccard, line_runs, mixing, secrets, toxicity, unigram
+from tallymill.llm import byte_bpe, exact_dedup, jaccard, line_runs, mixing, rp_forest, secrets, toxicity, unigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,12 @@ def _listed(spans, kinds=None):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all vectors for every hundredth."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rp_forest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole document."""
     base = [rule.kind for rule in secrets.BASE_RULES]
@@ -140,6 +146,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_rp_forest": op1_rp_forest,
     "op2_secrets": op2_secrets,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,

@@ -11,14 +11,16 @@ covers every whole text in one pass without a shuffle.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import id_and_text, named
+from tallymill.llm.common import ROWS_AT_A_TIME, id_and_text, named, stored
 
 # Labelled rows of each label that the model is fitted on, at most: those with the smallest hash of their id.
 SAMPLE_PER_LABEL = 3000
@@ -93,6 +95,18 @@ def fit_ordinal(present: list[np.ndarray], grades: np.ndarray, n_words: int, ste
     return values[:n_words], raw[0] + np.concatenate([[0.0], np.cumsum(np.exp(raw[1:]))])
 
 
+def _listed(sample: DataFrame, find: Callable[[str, bool], list], kind: str) -> DataFrame:
+    """``toxic``, ``found``: what ``find`` makes of each row, a few rows at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                part = batch.slice(start, ROWS_AT_A_TIME)
+                found = [find(*row) for row in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+                kinds = pa.list_(pa.string() if kind == "string" else pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, kinds)], names=["toxic", "found"])
+    return sample.select("text", "toxic").mapInArrow(run, f"toxic boolean, found array<{kind}>")
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic") -> Model:
     """Fit on labelled documents.
 
@@ -108,18 +122,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
         part = known.where(F.col("toxic") == F.lit(value)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LABEL)
         chosen = part if chosen is None else chosen.unionByName(part)
     # Bounded by the sample's size, whatever the tables hold.
-    sample = texts.join(F.broadcast(chosen), "doc_id")
-
-    @F.pandas_udf("array<string>")
-    def words_of(column: pd.Series) -> pd.Series:
-        return column.map(lambda t: sorted(words(t)))
-
-    listed = sample.select("toxic", words_of("text").alias("words"))
-    sizes = dict(listed.groupBy("toxic").count().collect())
+    sample = stored(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("text", "toxic"), "sample")
+    sizes = dict(sample.groupBy("toxic").count().collect())
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if not n_toxic or not n_clean:
         return Model({}, ())
-    counted = listed.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+    listed = _listed(sample, lambda text, toxic: sorted(words(text)), "string")
+    counted = listed.select("toxic", F.explode("found").alias("word")).groupBy("word").agg(
         F.count_if("toxic").alias("t"), F.count_if(~F.col("toxic")).alias("c"))
     p, q = (F.col("t") + 0.5) / (n_toxic + 1.0), (F.col("c") + 0.5) / (n_clean + 1.0)
     pooled = (F.col("t") + F.col("c") + 1.0) / (n_toxic + n_clean + 2.0)
@@ -133,19 +142,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     number = {word: k for k, (word, _) in enumerate(found)}
     indicative = {word for word, value in found if value > 0}
 
-    @F.pandas_udf("array<int>")
-    def numbers_of(column: pd.Series) -> pd.Series:
-        return column.map(lambda t: sorted(number[w] for w in words(t) & number.keys()))
-
-    @F.pandas_udf("int")
-    def severity_of(column: pd.Series) -> pd.Series:
-        return column.map(lambda t: min(max(len(words(t) & indicative), 1), MOST_SEVERE))
+    def graded(text: str, toxic: bool) -> list[int]:
+        """The grade, then the numbers of the words."""
+        found = words(text)
+        grade = min(max(len(found & indicative), 1), MOST_SEVERE) if toxic else 0
+        return [grade, *sorted(number[w] for w in found & number.keys())]
 
-    grade = F.when(F.col("toxic"), severity_of("text")).otherwise(0)
-    rows = sample.select(grade.alias("grade"), numbers_of("text").alias("present")).collect()
-    grades = np.array([r["grade"] for r in rows])
+    rows = [r["found"] for r in _listed(sample, graded, "int").collect()]
+    grades = np.array([r[0] for r in rows])
     _, grades = np.unique(grades, return_inverse=True)  # grades that occur
-    weights, cuts = fit_ordinal([np.array(r["present"], np.int64) for r in rows], grades, len(number))
+    weights, cuts = fit_ordinal([np.array(r[1:], np.int64) for r in rows], grades, len(number))
     return Model({w: float(weights[k]) for w, k in number.items()}, tuple(map(float, cuts)))
 
 
