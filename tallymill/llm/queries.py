@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import byte_bpe, exact_dedup, jaccard, line_runs, mixing, rp_forest, secrets, toxicity, unigram
+from tallymill.llm import byte_bpe, exact_dedup, interpolation, jaccard, line_runs, mixing, rp_forest, secrets, toxicity, unigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +112,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op6_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under the mixture and under the base model."""
+    return interpolation.score(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram tokens of every whole document."""
     return unigram.count_tokens(table(spark, sf_dir, "documents"))
@@ -151,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
     "op5_line_runs": op5_line_runs,
+    "op6_interpolation": op6_interpolation,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard": op9_jaccard,
