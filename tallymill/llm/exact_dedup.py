@@ -67,7 +67,8 @@ def groups(docs: DataFrame, id_col="doc_id", text_col="text", key_col: str | Non
         F.transform(chunks(F.col("norm")), lambda c: identify(c, seed)).alias("recipe"),
     ), "recipes")
     best = F.max(F.struct("n", F.col("doc_id").isNotNull().alias("has_id"), (-F.col("doc_id")).alias("minus_id"), (-F.col("row_key")).alias("minus_key")))
-    found = recipes.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    # Written, so that the join has an exchange of its own and a hot group's rows can be split.
+    found = stored(recipes.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "groups")
     return recipes.join(found, "recipe").select(
         "row_key", "doc_id", (-F.col("best.minus_id")).alias("keep_id"), "group_size",
         (F.col("row_key") == -F.col("best.minus_key")).alias("kept"), "text_sha256",
