@@ -118,7 +118,8 @@ def _index(sketch):
                 flat = np.concatenate([*prefixes, np.zeros(0, np.uint64)])
                 ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
                 owners = np.repeat(np.array([k[0] for k in keys], np.int64), np.diff(ends))
-                salts = (owners.view(np.uint64) % cuts[flat >> SHIFT].astype(np.uint64)).astype(np.int16)
+                parts = cuts[flat >> SHIFT]
+                salts = np.where(parts > 1, owners.view(np.uint64) % parts.astype(np.uint64), -1).astype(np.int16)
                 yield pa.RecordBatch.from_arrays([
                     *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)), pa.array(sizes, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
@@ -188,12 +189,13 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     """``a``, ``b``, ``label`` of the classes that are linked with another."""
     from pyspark.sql import Window
 
+    # Lists of one member are dropped, unless they are a part (salt from 0) of a list that was cut.
     # The leader is the list's smallest member in its rarest place; all frames are read in one go.
     ordered = Window.partitionBy("token", "salt").orderBy("n", "at", "c")
     following = F.lead("c").over(ordered)
     lists = entries.withColumns({
         "leader": F.first("c").over(ordered), "leader_n": F.first("n").over(ordered), "leader_at": F.first("at").over(ordered), "more": following,
-    }).where((F.col("leader") != F.col("c")) | F.col("more").isNotNull()).drop("more")
+    }).where((F.col("leader") != F.col("c")) | F.col("more").isNotNull() | (F.col("salt") >= 0)).drop("more")
     lists = stored(lists, "lists")
     first = lists.where("leader != c").where(_possible(F.col("n"), F.col("leader_n"), F.col("at"), F.col("leader_at")))
     near = _compared(first.select(F.col("c").alias("x"), F.col("leader").alias("y")).distinct(), texts, classes)
@@ -232,6 +234,7 @@ def _labelled(sized: DataFrame, found: DataFrame | None) -> DataFrame:
     alone = sized.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("own"))
     if found is not None:
         alone = alone.join(found, ["a", "b"], "left").select("a", "b", F.coalesce("component_id", "own").alias("own"))
+    alone = stored(alone, "alone")  # so that a hot class can be split in the join
     # Texts without words have one key too, but are not linked: they need no join.
     joined = sized.where("n > 0").join(alone, ["a", "b"]).select("doc_id", "n", "own")
     every = joined.unionByName(sized.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("own")))
