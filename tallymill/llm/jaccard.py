@@ -190,8 +190,10 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     from pyspark.sql import Window
 
     # Lists of one member are dropped, unless they are a part (salt from 0) of a list that was cut.
-    # The leader is the list's smallest member in its rarest place; all frames are read in one go.
-    ordered = Window.partitionBy("token", "salt").orderBy("n", "at", "c")
+    # The leader is the member that has fewest rarer shingles: the one that others were copied from, where it
+    # is there.  Copies changed so much that they are no longer linked with it have so many rare shingles
+    # before this one that their position rules them out.
+    ordered = Window.partitionBy("token", "salt").orderBy("at", "n", "c")
     following = F.lead("c").over(ordered)
     lists = entries.withColumns({
         "leader": F.first("c").over(ordered), "leader_n": F.first("n").over(ordered), "leader_at": F.first("at").over(ordered), "more": following,

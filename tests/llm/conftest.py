@@ -1,0 +1,12 @@
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """A documents table of (id, text) or (id, text, source) rows."""
+    def make(rows):
+        full = [(r[0], r[1], None, r[2] if len(r) > 2 else "s", None if r[1] is None else len(r[1])) for r in rows]
+        return spark.createDataFrame(full, SCHEMA)
+    return make
