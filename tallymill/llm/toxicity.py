@@ -29,7 +29,8 @@ MOST_WORDS = 1024
 LEAST_Z = 8.0
 # So many times as many toxic as clean texts of the sample must have a word's beginning.
 CLEAN_TO_TOXIC = 200
-# Severity grades of the labelled rows: 0 is clean; a toxic text has the number of its different indicative words.
+# Severity grades of the labelled rows: 0 is clean; a toxic text has the number of its indicative words with
+# different beginnings, from 1 up to this.
 MOST_SEVERE = 3
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -145,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     def graded(text: str, toxic: bool) -> list[int]:
         """The grade, then the numbers of the words."""
         found = words(text)
-        grade = min(max(len(found & indicative), 1), MOST_SEVERE) if toxic else 0
+        grade = min(max(len({w[:4] for w in found & indicative}), 1), MOST_SEVERE) if toxic else 0
         return [grade, *sorted(number[w] for w in found & number.keys())]
 
     rows = [r["found"] for r in _listed(sample, graded, "int").collect()]

@@ -194,7 +194,7 @@ def toxic_docs(n, seed):
         toxic = rand.random() < 0.3
         words = [f"word{rand.randint(0, 200)}" for _ in range(rand.randint(5, 60))]
         if toxic:
-            words += rand.sample(["vileone", "viletwo", "nasty", "rotten"], rand.randint(1, 4))
+            words += rand.sample(["vileone", "foultwo", "nasty", "rotten"], rand.randint(1, 4))
         rand.shuffle(words)
         rows.append((i, " ".join(words)))
         labels.append((i, int(toxic)))
@@ -211,7 +211,7 @@ def test_ordinal_model_on_held_out_rows(spark, make_docs):
     got = {r["doc_id"]: r for r in rated.where("doc_id >= 600").collect()}
     wrong = [i for i, t in labels[600:] if got[i]["is_toxic"] != bool(t)]
     assert len(wrong) <= 6
-    grade = [len({"vileone", "viletwo", "nasty", "rotten"} & set(rows[i][1].split())) for i in got]
+    grade = [len({"vileone", "foultwo", "nasty", "rotten"} & set(rows[i][1].split())) for i in got]
     assert np.corrcoef(grade, [r["severity"] for r in got.values()])[0, 1] > 0.9
 
 
