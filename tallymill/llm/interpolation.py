@@ -27,9 +27,9 @@ from tallymill.llm.common import ROWS_AT_A_TIME, id_and_text, stored
 from tallymill.llm.shingles import mixed
 
 # Characters of a block at most (a longer document is a block of its own).
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 4_000_000
 # N-grams, counted once for each block, in one range of hashes on average.
-RANGE_GRAMS = 1_000_000
+RANGE_GRAMS = 600_000
 # The base model's addend, and the share of documents (by crc32) that are held out.
 ADDED, HELD_ONE_IN = 0.1, 10
 LEVELS = 48
