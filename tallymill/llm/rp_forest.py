@@ -28,8 +28,8 @@ TREES = 12
 # Members a leaf is to have, and the fewest of the sample in one.
 LEAF = 128
 LEAST_LEAF = 6
-# Leaves that a query visits, of all trees together.
-VISITS = 160
+# Leaves that a query visits, of all trees together, for each level of the trees.
+VISITS_PER_LEVEL = 30
 # Members of a leaf that one task compares at once, on average.
 BLOCK = 20_000
 SEED = 7
@@ -120,7 +120,7 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col="vec_id", vector_col="embedding",
-            trees: int = TREES, visits: int = VISITS) -> DataFrame:
+            trees: int = TREES, visits: int | None = None) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the ``k`` nearest found of ``rows`` for each row of ``queries``.
 
     Nearness is Euclidean distance in doubles, ties go to the smaller id; rows of the query's own id do not
@@ -140,6 +140,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col="vec_id", v
     sample = points.orderBy(F.xxhash64("vector"), "p").select("vector").limit(SAMPLE).collect()
     sample = np.array([r["vector"] for r in sample])
     depth = max(0, int(np.log2(max(1.0, min(n / LEAF, len(sample) / LEAST_LEAF)))))
+    visits = visits or VISITS_PER_LEVEL * max(1, depth)
     # Its size is bounded by the sample: trees * sample / LEAST_LEAF hyperplanes.
     forest = spark.sparkContext.broadcast(Forest.fit(sample, depth, trees))
     blocks = max(1, round(n / (2**depth * BLOCK)))
