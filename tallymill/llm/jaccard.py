@@ -84,22 +84,26 @@ def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([counts.astype("<i8").tobytes()], pa.binary())], names=["part", "counts"])
 
 
-def _sketch(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks by frequency, and into how many lists each shingle's list is cut, by counter (fixed size)."""
+def _sketch(profiles: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
+    """Ranks by frequency by counter (4 MB, whatever the input), and into how many lists those of few counters are cut."""
     shares = profiles.where("part is not null").select("part", "counts").repartition("part")
     totals = np.zeros(COUNTERS, np.int64)
     for row in shares.mapInArrow(_sum_parts, "part int, counts binary").toLocalIterator():
         totals[row["part"] * PART:(row["part"] + 1) * PART] += np.frombuffer(row["counts"], "<i8")
     noise = 2 * totals.mean()
-    ranks = np.round(64 * np.log2(totals + 1.0)).clip(0, 65535).astype(np.uint16)
-    return ranks, np.ceil((totals - noise) / LIST_MEMBERS).clip(1, 30_000).astype(np.int16)
+    ranks = np.round(6 * np.log2(totals + 1.0)).clip(0, 255).astype(np.uint8)
+    parts = np.ceil((totals - noise) / LIST_MEMBERS).clip(1, 30_000).astype(np.int64)
+    # At most total / LIST_MEMBERS lists, and no more than counters, are that long.
+    return ranks, {int(k): int(parts[k]) for k in np.flatnonzero(parts > 1)}
 
 
 def _index(sketch):
     """Prefixes of the classes, rarest shingles first; a task gives equal sets once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(), set()
-        ranks, cuts = sketch.value
+        ranks, long_lists = sketch.value
+        cuts = np.ones(COUNTERS, np.int16)
+        cuts[list(long_lists)] = list(long_lists.values())
         for batch in batches:
             for texts, *_ in _parts(batch):
                 keys, sizes, prefixes = [], [], []

@@ -145,7 +145,7 @@ def test_cut_lists_give_the_same(spark, make_docs):
     texts = jaccard.id_and_text(docs).select("text", "doc_id", F.xxhash64("doc_id", "text").alias("row"))
     sized = texts.mapInArrow(jaccard._profiles, jaccard.PROFILE).where("part is null").select("doc_id", "row", "n", "a", "b")
     import numpy as np
-    sketch = spark.sparkContext.broadcast((np.zeros(jaccard.COUNTERS, np.uint16), np.full(jaccard.COUNTERS, 5, np.int16)))
+    sketch = spark.sparkContext.broadcast((np.zeros(jaccard.COUNTERS, np.uint8), dict.fromkeys(range(jaccard.COUNTERS), 5)))
     index = jaccard.stored(texts.mapInArrow(jaccard._index(sketch), "a long, b long, n int, tokens array<long>, salts array<short>").dropDuplicates(["a", "b"]).withColumn("c", F.monotonically_increasing_id()), "index")
     classes = jaccard.stored(index.select("c", "a", "b", "n").join(sized.groupBy("a", "b").agg(F.min("row").alias("rep"), F.min("doc_id").alias("first_id")), ["a", "b"]), "classes")
     entries = index.select("c", "n", F.posexplode(F.arrays_zip("tokens", "salts")).alias("at", "e")).select(F.col("e.tokens").alias("token"), F.col("e.salts").alias("salt"), "c", "n", (F.col("at") + 1).alias("at"))
