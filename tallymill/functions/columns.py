@@ -7,15 +7,18 @@ from pyspark.sql import Column, functions as F
 _MICROS_PER_MINUTE = 60_000_000
 
 
-def money(column: Column | str, scale: int = 4) -> Column:
-    """Exact decimal form of an amount, so that sums do not depend on row order."""
-    return _col(column).cast(f"decimal(18,{scale})")
+def money(column: Column | str) -> Column:
+    """Decimal form of an amount, so that sums do not depend on row order.
+
+    Ten digits behind the point are kept, below 1e24.
+    """
+    return _col(column).cast("decimal(34,10)")
 
 
 def net_total(quantity: Column | str, unit_price: Column | str, discount: Column | str) -> Column:
-    """``quantity * unit_price - discount`` rounded half up to cents; null if any part is."""
-    exact = money(quantity) * money(unit_price) - money(discount)
-    return F.round(exact, 2).cast("double")
+    """``quantity * unit_price - discount`` rounded half up to cents, once; null if any part is."""
+    whole, price, less = (_col(part).cast("double") for part in (quantity, unit_price, discount))
+    return F.round(whole * price - less, 2)
 
 
 def whole_week(timestamp: Column | str) -> Column:

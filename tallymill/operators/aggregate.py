@@ -22,11 +22,11 @@ def sum_by_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
 
 def mean_of(df: DataFrame, value: str, name: str) -> DataFrame:
-    return df.agg(exact_mean(value).alias(name))
+    return df.agg(steady_mean(value).alias(name))
 
 
-def exact_mean(value: Column | str) -> Column:
-    """Mean from an exact sum; null for no values."""
+def steady_mean(value: Column | str) -> Column:
+    """Mean from a sum that does not depend on row order; null for no values."""
     return F.try_divide(F.sum(money(value)).cast("double"), F.count(value))
 
 
@@ -41,7 +41,7 @@ def weekly_rollup(df: DataFrame, timestamp: str, total: str, averages: Sequence[
     return df.groupBy(whole_week(timestamp).alias("week_start")).agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.sum(money(total)).cast("double").alias("total_revenue"),
-        *[exact_mean(column).alias(name) for column, name in averages],
+        *[steady_mean(column).alias(name) for column, name in averages],
     )
 
 

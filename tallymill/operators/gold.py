@@ -146,7 +146,7 @@ def gold_store(sales: DataFrame, stores: DataFrame) -> DataFrame:
 def _profit(parts: DataFrame, products: DataFrame) -> DataFrame:
     """Partial sums per product with cost at the product's standard price."""
     priced = parts.join(products, "product_id", "left")
-    return priced.withColumn("cost", F.col("quantity") * money("standard_price"))
+    return priced.withColumn("cost", money(F.col("quantity") * F.col("standard_price").cast("double")))
 
 
 def kpi_cards(sales: DataFrame, products: DataFrame) -> DataFrame:

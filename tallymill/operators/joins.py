@@ -1,8 +1,9 @@
 """Key joins of a fact table with master tables.
 
-No broadcast is forced.  Spark broadcasts a side whose estimated or measured size is
-below its threshold and otherwise shuffles, splitting over-full partitions of the fact
-side at run time (left outer, semi and anti joins allow that).
+Spark broadcasts a side whose estimated or measured size is below its threshold and otherwise shuffles,
+splitting over-full partitions of the fact side at run time (left outer, semi and anti joins allow
+that).  A master that is itself a join is over-estimated, and by the time it is measured the facts are
+shuffled already.  ``enrich`` therefore counts such masters first and hints those that are proven small.
 """
 
 from __future__ import annotations
@@ -23,9 +24,24 @@ def without_keys_of(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Dat
     return df.join(other.select(*keys), list(keys), "left_anti")
 
 
+# Rows up to which a counted master is broadcast.  A row of masters is well below 1 KB.
+MOST_BROADCAST = 50_000
+
+
+def proven_small(master: DataFrame) -> DataFrame:
+    """The master with a broadcast hint if it has few rows: at most ``MOST_BROADCAST + 1`` are counted.
+
+    With broadcasting switched off in the session nothing is hinted.
+    """
+    spark = master.sparkSession
+    off = spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    few = not off and master.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    return F.broadcast(master) if few else master
+
+
 def enrich(fact: DataFrame, masters: Mapping[str, DataFrame]) -> DataFrame:
     """Star join: add each master's columns by its key; unknown keys get nulls."""
-    return reduce(lambda left, item: left.join(item[1], item[0], "left"), masters.items(), fact)
+    return reduce(lambda left, item: left.join(proven_small(item[1]), item[0], "left"), masters.items(), fact)
 
 
 def full_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,17 +7,19 @@ never modified: any version stays readable, with the schema it had.
 
 Layout below the root::
 
-    data/written_in=<n>/<partition folders>/   rows written by version n
+    data/written_in=<n>-<try>/<partition folders>/   rows written by version n, each try in its own folder
     history/version=<n>/                       one row with the folders version n consists of;
                                                written last, it makes the version visible
 
-One writer at a time.  A second writer that lost the race fails when it commits.
+One writer at a time.  A second writer that lost the race fails when it commits, and has touched nothing
+of the version that won.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -25,7 +27,7 @@ from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tallymill.operators import dml
 from tallymill.operators.layout import clustered, sized_for_write
@@ -93,10 +95,16 @@ class VersionedTable:
         return sorted(found - {None})
 
     def diff(self, before: int, after: int, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-        """Rows that differ between two versions.  Folders both versions share are not read."""
+        """Rows that differ between two versions.  Folders both versions share are not read.
+
+        A column that one version lacks is null there.  Where the schemas differ, rows of shared folders
+        are null in the new column on both sides, so leaving them out changes nothing.
+        """
         old, new = self._version(before), self._version(after)
+        both = self._widened(old.schema, new.schema)
         return dml.row_diff(
-            self._read(old, old.folders - new.folders), self._read(new, new.folders - old.folders), keys, columns
+            self._shaped(self._read(old, old.folders - new.folders), both),
+            self._shaped(self._read(new, new.folders - old.folders), both), keys, columns,
         )
 
     # Changing -----------------------------------------------------------------------
@@ -104,8 +112,8 @@ class VersionedTable:
     def create(self, df: DataFrame) -> int:
         """Full content as the next version: version 0, or an overwrite that keeps history."""
         number = self.latest_version() + 1 if self.exists() else 0
-        written = self._write(df, number)
-        return self._commit(number, "WRITE", "", df.schema, self._folders_of(number), 0, written, 0)
+        written, folders = self._write(df, number)
+        return self._commit(number, "WRITE", "", df.schema, folders, 0, written, 0)
 
     def create_if_absent(self, schema: StructType, reset: bool = False) -> None:
         if reset or not self.exists():
@@ -116,42 +124,42 @@ class VersionedTable:
         now = self._version()
         number = now.number + 1
         schema = self._widened(now.schema, batch.schema)
-        written = self._write(self._shaped(batch, schema), number)
-        return self._commit(number, "APPEND", "", schema, now.folders | self._folders_of(number), 0, written, 0)
+        written, folders = self._write(self._shaped(batch, schema), number)
+        return self._commit(number, "APPEND", "", schema, now.folders | folders, 0, written, 0)
 
     def update(self, condition: Column | str, changes: Mapping[str, Column]) -> int:
-        fixed = set(changes) & set(self.partition_by)
-        if fixed:
-            raise ValueError(f"cannot update partition columns {sorted(fixed)}")
-        test = _column(condition)
-        return self._rewrite("UPDATE", condition, test, lambda rows: dml.update_rows(rows, test, changes))
+        """Set columns where the condition holds; rows whose partition changes move to its folder."""
+        test, moved = _column(condition), bool(set(changes) & set(self.partition_by))
+        return self._rewrite("UPDATE", condition, test, lambda rows: dml.update_rows(rows, test, changes), arranged=not moved)
 
     def delete(self, condition: Column | str) -> int:
         test = _column(condition)
         return self._rewrite("DELETE", condition, test, lambda rows: dml.delete_rows(rows, test))
 
-    def upsert(self, source: DataFrame, keys: Sequence[str], null_safe: bool = False, stored: bool = False) -> int:
+    def upsert(self, source: DataFrame, keys: Sequence[str], null_safe: bool = False, stored: bool = False,
+               unique: bool = False) -> int:
         """Replace rows of matching key by the source's and add the rest.
 
         The source is used three times, so it is written out first unless it is already
-        ``stored``.  A key that occurs twice in it is an error.
+        ``stored``.  A key that occurs twice in it is an error; who has just made the keys ``unique``
+        says so and saves the check.
         """
         now = self._version()
         number = now.number + 1
         if not stored:
-            staged = f"{self.root}/staging/version={number}"
-            source.write.mode("overwrite").parquet(staged)
+            staged = f"{self.root}/staging/version={number}-{uuid.uuid4().hex[:12]}"
+            source.write.parquet(staged)
             source = self.spark.read.schema(source.schema).parquet(staged)
-        if not dml.repeated_keys(source, keys).isEmpty():
+        if not unique and not dml.repeated_keys(source, keys).isEmpty():
             raise ValueError(f"source repeats a key of {list(keys)}")
         schema = self._widened(now.schema, source.schema)
         located = self._located(now).select(*keys, *self._place())
         touched = self._count_by_folder(now, dml.matched(located, source, keys, null_safe))
         kept = dml.unmatched(self._read(now, frozenset(touched)), source, keys, null_safe)
         merged = self._shaped(kept, schema).unionByName(self._shaped(source, schema))
-        written = self._write(merged, number)
+        written, folders = self._write(merged, number)
         return self._commit(
-            number, "MERGE", ", ".join(keys), schema, (now.folders - set(touched)) | self._folders_of(number),
+            number, "MERGE", ", ".join(keys), schema, (now.folders - set(touched)) | folders,
             sum(touched.values()), written, len(touched),
         )
 
@@ -160,14 +168,14 @@ class VersionedTable:
         now = self._version()
         number = now.number + 1
         ranged = clustered(self._read(now, now.folders), cluster_by, self.partition_by, files)
-        written = self._write(ranged, number, arranged=True)
+        written, folders = self._write(ranged, number, arranged=True)
         return self._commit(
-            number, "COMPACT", cluster_by, now.schema, self._folders_of(number), written, written, len(now.folders)
+            number, "COMPACT", cluster_by, now.schema, folders, written, written, len(now.folders)
         )
 
     # Helpers ------------------------------------------------------------------------
 
-    def _rewrite(self, operation: str, detail: Column | str, test: Column, change) -> int:
+    def _rewrite(self, operation: str, detail: Column | str, test: Column, change, arranged: bool = True) -> int:
         now = self._version()
         number = now.number + 1
         touched = self._count_by_folder(now, self._located(now).where(test))
@@ -175,8 +183,7 @@ class VersionedTable:
         added: frozenset[str] = frozenset()
         if touched:
             # Input splits already follow the folders, so no shuffle is needed to write.
-            written = self._write(change(self._read(now, frozenset(touched))), number, arranged=True)
-            added = self._folders_of(number)
+            written, added = self._write(change(self._read(now, frozenset(touched))), number, arranged)
         return self._commit(
             number, operation, str(detail), now.schema, (now.folders - set(touched)) | added,
             sum(touched.values()), written, len(touched),
@@ -196,9 +203,9 @@ class VersionedTable:
         return self._located(version, folders).select(*version.schema.names)
 
     def _located(self, version: _Version, folders: frozenset[str] | set[str] | None = None) -> DataFrame:
-        """Rows with the version that wrote them, as a small number taken from the folder name."""
+        """Rows with the try that wrote them, taken from the folder name."""
         folders = version.folders if folders is None else folders
-        schema = StructType([*version.schema.fields, StructField(_WRITTEN_IN, LongType())])
+        schema = StructType([*version.schema.fields, StructField(_WRITTEN_IN, StringType())])
         if not folders:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self.root}/data/{folder}" for folder in sorted(folders)]
@@ -216,20 +223,20 @@ class VersionedTable:
         names = {_partition_key(folder): folder for folder in version.folders}
         return {names[tuple(row)[:-1]]: row["count"] for row in located.groupBy(*place).count().collect()}
 
-    def _write(self, df: DataFrame, number: int, arranged: bool = False) -> int:
-        """Write the rows of a version and count them on the way."""
-        counter = Observation()
+    def _write(self, df: DataFrame, number: int, arranged: bool = False) -> tuple[int, frozenset[str]]:
+        """Write the rows of a version and count them on the way; the count and the folders."""
+        counter, attempt = Observation(), f"{number}-{uuid.uuid4().hex[:12]}"
         frame = df if arranged else sized_for_write(df, self.partition_by)
-        writer = frame.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer = frame.observe(counter, F.count(F.lit(1)).alias("rows")).write
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.root}/data/{_WRITTEN_IN}={number}")
-        return counter.get["rows"]
+        writer.parquet(f"{self.root}/data/{_WRITTEN_IN}={attempt}")
+        return counter.get["rows"], self._folders_of(attempt)
 
-    def _folders_of(self, number: int) -> frozenset[str]:
-        """Folders a version has written, from its file names; no data is read."""
-        written = self.spark.read.schema(_FACTS).parquet(f"{self.root}/data/{_WRITTEN_IN}={number}")
-        start = f"{_WRITTEN_IN}={number}/"
+    def _folders_of(self, attempt: str) -> frozenset[str]:
+        """Folders a try has written, from its file names; no data is read."""
+        written = self.spark.read.schema(_FACTS).parquet(f"{self.root}/data/{_WRITTEN_IN}={attempt}")
+        start = f"{_WRITTEN_IN}={attempt}/"
         names = {unquote(name).rpartition("/")[0] + "/" for name in written.inputFiles()}
         return frozenset(name[name.rindex(start):].rstrip("/") for name in names)
 
@@ -265,6 +272,6 @@ def _column(condition: Column | str) -> Column:
 
 
 def _partition_key(folder: str) -> tuple[str | None, ...]:
-    """``written_in=3/country=IN`` -> ("3", "IN"); the name Spark gives to null becomes None."""
+    """``written_in=3-ab/country=IN`` -> ("3-ab", "IN"); the name Spark gives to null becomes None."""
     values = [unquote(part.partition("=")[2]) for part in folder.split("/")]
     return tuple(None if value == "__HIVE_DEFAULT_PARTITION__" else value for value in values)

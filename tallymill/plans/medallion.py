@@ -13,43 +13,48 @@ Everything lives below one root folder::
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from tallymill.fixed_values import (
     BRONZE_LAYER, BRONZE_PIPELINE, LOOKBACK, SILVER_LAYER, SILVER_PIPELINE, SOURCE_SYSTEM,
 )
-from tallymill.functions.columns import first_of_month
+from tallymill.functions.columns import first_of_month, holds
 from tallymill.operators import gold
 from tallymill.operators.clean import align_to, calibrate, normalise_sale_types
 from tallymill.operators.dedup import latest_per_key, master_rows
-from tallymill.operators.incremental import since_high_water_mark
+from tallymill.operators.incremental import look_back_bound, not_before
 from tallymill.operators.layout import sized_for_write
 from tallymill.operators.validate import REASONS, VALID, flag_rows
 from tallymill.operators.versioned import VersionedTable
 from tallymill.plans.runlog import RunLog
 from tallymill.schemas import BRONZE_SALES, PRODUCTS, RAW_SALES, SILVER_SALES, STORES, table
-from tallymill.sinks.writers import overwrite_path
+from tallymill.sinks.writers import overwrite_path, overwrite_path_keeping_columns
 from tallymill.sources.readers import path_exists, read_csv, read_path, with_load_metadata
 
 NEWEST_FIRST = ["ingestion_timestamp", "transaction_timestamp", "source_file"]
 KEYS = ["transaction_id"]
 _PERIOD = "transaction_period"
+_LATE = "_late"
 _PERIOD_FIELD = table(f"{_PERIOD} date").fields
 _PERIODS = {"day": F.to_date, "month": first_of_month}
 _BRONZE = StructType(BRONZE_SALES.fields + _PERIOD_FIELD)
 _STORED_SALES = StructType(SILVER_SALES.fields + _PERIOD_FIELD)
-_STORED_REJECTS = StructType(SILVER_SALES.fields + _PERIOD_FIELD).add(REASONS, ArrayType(StringType()))
+_IDENTITY = "row_identity"
+_STORED_REJECTS = StructType(SILVER_SALES.fields + _PERIOD_FIELD).add(REASONS, ArrayType(StringType())).add(_IDENTITY, "long")
+TOO_LATE = "older_than_look_back"
 
 
-def flag_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+def flag_sales(sales: DataFrame, products: DataFrame, stores: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
     """Mark each sale: known product, known store, positive quantity, an id to be known by."""
     return flag_rows(
         sales,
         {"product_id": products, "store_id": stores},
-        {"missing_transaction_id": F.col("transaction_id").isNotNull(), "quantity_not_positive": F.col("quantity") > 0},
+        {"missing_transaction_id": F.col("transaction_id").isNotNull(), "quantity_not_positive": F.col("quantity") > 0, **(rules or {})},
     )
 
 
@@ -103,9 +108,10 @@ class RetailLakehouse:
             "ingestion_date": F.to_date("ingestion_timestamp"),
             _PERIOD: self.period_of(F.col("transaction_timestamp")),
         }
-        writer = sized_for_write(rows.withColumns(folders), tuple(folders)).write.mode("overwrite")
-        writer.partitionBy(*folders).parquet(path)
-        return self.bronze_load(load_id).count()
+        counter = Observation()
+        sized = sized_for_write(rows.withColumns(folders), tuple(folders)).observe(counter, F.count(F.lit(1)).alias("rows"))
+        sized.write.mode("overwrite").partitionBy(*folders).parquet(path)
+        return counter.get["rows"]
 
     def bronze(self) -> DataFrame:
         """All loads, with the period of sale, by which a filter chooses among the folders."""
@@ -120,21 +126,31 @@ class RetailLakehouse:
 
     # Silver -------------------------------------------------------------------------
 
-    def refresh_silver(self, batch: DataFrame | None = None) -> tuple[int, int]:
+    def refresh_silver(self, batch: DataFrame | None = None, bound: str | None = None) -> tuple[int, int]:
         """Upsert the sales since the high-water mark; returns (valid, rejected).
 
-        ``batch`` limits the input to given bronze rows; by default all bronze is looked at.
+        By default all bronze is looked at, and rows older than the look-back are done with.  ``batch``
+        limits the input to given new bronze rows and ``bound`` (see :meth:`look_back`) is the caller's, so
+        that several batches of one run share it; older rows are then new and go to the quarantine.
         """
         with self.log.run(SILVER_PIPELINE, SILVER_LAYER) as run:
-            rows = self.bronze() if batch is None else batch
-            recent = since_high_water_mark(
-                rows, self._newest_sales(), "transaction_timestamp", self.lookback, _PERIOD, self.period_of
-            )
-            newest = latest_per_key(recent, KEYS, NEWEST_FIRST)
-            flagged = flag_sales(newest, self.products(), self.stores())
+            if batch is None:
+                recent = not_before(self.bronze(), self.look_back(), "transaction_timestamp", _PERIOD, self.period_of)
+                late = F.lit(False)
+            else:
+                recent = batch
+                late = F.lit(False) if bound is None else holds(F.col("transaction_timestamp") < F.lit(bound).cast("timestamp"))
+            # Rows without an id are told apart by what they say, so that only exact copies fold.
+            told = F.when(F.col("transaction_id").isNull(), F.xxhash64(*[c for c in RAW_SALES.names]))
+            newest = latest_per_key(recent.withColumns({_IDENTITY: told, _LATE: late}), [*KEYS, _IDENTITY], NEWEST_FIRST)
+            flagged = flag_sales(newest, self.products(), self.stores(), {TOO_LATE: ~F.col(_LATE)}).drop(_LATE)
             run.processed, run.rejected = self._store(flagged)
         return run.processed, run.rejected
 
+    def look_back(self) -> str | None:
+        """The oldest time of sale that a refresh now accepts, or None for all."""
+        return look_back_bound(self._newest_sales(), "transaction_timestamp", self.lookback)
+
     def _newest_sales(self) -> DataFrame:
         """Silver sales of the last period: the newest timestamp is among them."""
         periods = self.sales.partition_values(_PERIOD)
@@ -143,17 +159,20 @@ class RetailLakehouse:
 
     def _store(self, flagged: DataFrame) -> tuple[int, int]:
         # Written once and read for both outputs, instead of classifying twice.
-        staged = f"{self.root}/staging/classified"
-        flagged.write.mode("overwrite").partitionBy(VALID).parquet(staged)
+        staged = f"{self.root}/staging/classified-{uuid.uuid4().hex[:12]}"
+        flagged.write.partitionBy(VALID).parquet(staged)
         stored = self.spark.read.schema(flagged.schema).parquet(staged)
         valid, rejected = stored.where(F.col(VALID)), stored.where(~F.col(VALID))
         counts = {row[0]: row[1] for row in stored.groupBy(VALID).count().collect()}
-        if counts.get(True):
-            accepted = normalise_sale_types(calibrate(valid))
-            self.sales.upsert(align_to(accepted, _STORED_SALES.names), KEYS, stored=True)
+        # The quarantine first: only silver moves the high-water mark, so after a crash in between the
+        # same rows are looked at again.
         if counts.get(False):
             refused = normalise_sale_types(rejected)
-            self.quarantine.upsert(align_to(refused, _STORED_REJECTS.names), KEYS, null_safe=True, stored=True)
+            keys = [*KEYS, _IDENTITY]
+            self.quarantine.upsert(align_to(refused, _STORED_REJECTS.names), keys, null_safe=True, stored=True, unique=True)
+        if counts.get(True):
+            accepted = normalise_sale_types(calibrate(valid))
+            self.sales.upsert(align_to(accepted, _STORED_SALES.names), KEYS, stored=True, unique=True)
         return counts.get(True, 0), counts.get(False, 0)
 
     def silver(self, version: int | None = None) -> DataFrame:
@@ -183,7 +202,7 @@ class RetailLakehouse:
             "store_performance": gold.store_performance(store_days, stores),
         }
         for name, result in results.items():
-            overwrite_path(result, self._gold(name))
+            overwrite_path_keeping_columns(result, self._gold(name))
 
     def gold(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._gold(name))

@@ -74,6 +74,26 @@ def version_diff(spark, sf_dir):
     return table.diff(0, 1, ["order_id"], ["status"])
 
 
+@query(f"""WITH {BOOK} SELECT order_id, CAST(NULL AS VARCHAR) AS payment_method_before,
+'CARD' AS payment_method_after, 'insert' AS change FROM book WHERE order_timestamp >= TIMESTAMP '2000-01-01'""")
+def version_diff_wider(spark, sf_dir):
+    """A diff on a column that the older version does not have."""
+    earlier, later = _two_batches(spark, sf_dir)
+    table = _new_table(spark)
+    table.create(earlier)
+    table.append(later)
+    return table.diff(0, 1, ["order_id"], ["payment_method"])
+
+
+@query(f"""WITH {BOOK} SELECT * REPLACE (CASE WHEN country = '5-LOW' THEN '4-MOVED' ELSE country END AS country) FROM book""")
+def partition_update(spark, sf_dir):
+    """An update of a partition column moves rows to other folders."""
+    table = _new_table(spark)
+    table.create(star.order_book(spark, sf_dir))
+    table.update("country = '5-LOW'", {"country": F.lit("4-MOVED")})
+    return table.read()
+
+
 @query(f"""WITH {BOOK}, touched AS (SELECT DISTINCT country, order_year FROM book WHERE {_URGENT_PAID})
 SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, CAST(0 AS BIGINT) AS rows_matched, count(*) AS rows_written,
        CAST(0 AS BIGINT) AS folders_rewritten FROM book

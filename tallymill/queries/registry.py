@@ -31,10 +31,7 @@ sales AS (
          l_returnflag AS return_flag, l_linestatus AS line_status
   FROM lineitem)"""
 
-TOTAL = (
-    "CAST(round(CAST(quantity AS DECIMAL(18,4)) * CAST(unit_price AS DECIMAL(18,4))"
-    " - CAST(discount AS DECIMAL(18,4)), 2) AS DOUBLE)"
-)
+TOTAL = "round(quantity * unit_price - discount, 2)"
 
 CALIBRATED = f"{SALES}, calibrated AS (SELECT *, {TOTAL} AS total_amount FROM sales)"
 
@@ -64,7 +61,7 @@ LATEST = f"""{SALES}, latest AS (
 TRIPS = """
 trips AS (
   SELECT l_orderkey AS trip_id, l_linenumber AS leg, o_orderdate AS pickup_datetime, l_shipdate AS dropoff_datetime,
-         l_quantity AS trip_distance, l_extendedprice AS fare_amount
+         l_quantity / 4 - 1 AS trip_distance, l_extendedprice / 2000 AS fare_amount
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 RUN_LOG = """
@@ -83,6 +80,6 @@ book AS (
          CAST(year(o_orderdate) AS INTEGER) AS order_year
   FROM orders)"""
 
-REVENUE = "CAST(round(sum(CAST(total_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS total_revenue"
+REVENUE = "CAST(round(sum(CAST(total_amount AS DECIMAL(38,10))), 2) AS DOUBLE) AS total_revenue"
 QUANTITY = "CAST(sum(quantity) AS BIGINT) AS total_quantity"
 TRANSACTIONS = "CAST(count(transaction_id) AS BIGINT) AS total_transactions"

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from tallymill.functions.columns import epoch_millis
 from tallymill.operators.layout import sized_for_write
-from tallymill.sources.readers import empty_table, path_exists
+from tallymill.sources.readers import empty_table, path_exists, read_path
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -55,6 +55,15 @@ def overwrite_keeping_columns(df: DataFrame, name: str) -> None:
     overwrite_table(df, name)
 
 
+def overwrite_path_keeping_columns(df: DataFrame, path: str) -> None:
+    """The same for a path table."""
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        before = empty_table(spark, read_path(spark, path).schema)
+        df = before.unionByName(df, allowMissingColumns=True)
+    overwrite_path(df, path)
+
+
 def append_evolving(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Append rows that may carry new columns.  Read back with ``read_evolving``."""
     writer = sized_for_write(df, partition_by).write.mode("append")

@@ -64,18 +64,29 @@ def stream_latest(stream: DataFrame, table: VersionedTable, checkpoint: str, key
     )
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint: loads of two streams have different folders."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def stream_medallion(house: RetailLakehouse, raw_dir: str, checkpoint: str, files_per_batch: int | None = None,
                      recheck: bool = False) -> StreamingQuery:
     """New sales files to bronze and on to silver, one micro-batch at a time.
 
-    With ``recheck`` every batch validates the whole look-back period again, as the batch
+    Rows older than the look-back, as it is when the call begins, go to the quarantine.  With ``recheck`` every batch validates the whole look-back period again, as the batch
     job does, so a sale rejected yesterday is accepted once its master row has arrived.
     """
+    # One bound for all batches: how many there are does not change what is accepted.
+    bound = house.look_back()
+
     def handle(batch: DataFrame, number: int) -> None:
-        load_id = f"stream-{number}"
+        load_id = f"stream-{_query_id(house.spark, checkpoint)}-{number}"
         with house.log.run(BRONZE_PIPELINE, BRONZE_LAYER) as run:
             run.processed = house.write_bronze(batch, load_id)
-        house.refresh_silver(None if recheck else house.bronze_load(load_id))
+        if recheck:
+            house.refresh_silver()
+        else:
+            house.refresh_silver(house.bronze_load(load_id), bound)
 
     sales = with_load_metadata(stream_csv(house.spark, raw_dir, RAW_SALES, files_per_batch), SOURCE_SYSTEM)
     return run_available(sales, checkpoint, handle)

@@ -196,3 +196,14 @@ def test_top_fares_have_rank_and_tie_break(spark):
         TAXI_TRIPS,
     )
     assert rows(taxi.top_fares(rides), "rank", "trip_id") == [(1, "t1"), (2, "t2"), (3, "t3")]
+
+
+def test_amounts_keep_their_digits(spark):
+    from tallymill.functions.columns import net_total
+    from tallymill.operators import aggregate
+
+    sale = spark.createDataFrame([(1_000_000, 0.00005, 0.0), (3, 0.1, 0.0), (1, 2e14, 0.5)], "q int, p double, d double")
+    assert sorted(r[0] for r in sale.select(net_total("q", "p", "d")).collect()) == [0.3, 50.0, 2e14 - 0.5]
+    small = spark.createDataFrame([("a", 0.00004), ("a", 0.00004), ("b", 2e14)], "k string, v double")
+    assert aggregate.mean_of(small.where("k = 'a'"), "v", "m").first()[0] == 0.00004
+    assert rows(aggregate.sum_by_key(small, "k", "v", "s")) == [("a", 0.00008), ("b", 2e14)]

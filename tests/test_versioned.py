@@ -45,13 +45,14 @@ def test_update_rewrites_touched_folders_only(book, orders):
     assert entry["operation"] == "UPDATE"
     assert entry["rows_matched"] == orders.where(hit).count()
     assert entry["folders_rewritten"] == orders.where(hit).select("country", "order_date").distinct().count()
-    kept = {name for name in book._version(1).folders if name.startswith("written_in=0/")}
+    kept = {name for name in book._version(1).folders if name.startswith("written_in=0-")}
     assert kept < book._version(0).folders and len(kept) == len(book._version(0).folders) - entry["folders_rewritten"]
 
 
-def test_partition_columns_cannot_be_updated(book):
-    with pytest.raises(ValueError, match="country"):
-        book.update("amount > 1", {"country": F.lit("X")})
+def test_update_of_a_partition_column_moves_rows(book, orders):
+    book.update("country = 'IN'", {"country": F.lit("XX")})
+    assert rows(book.read()) == rows(orders.withColumn("country", F.when(F.col("country") == "IN", "XX").otherwise(F.col("country"))))
+    assert "XX" in book.partition_values("country") and "IN" not in book.partition_values("country")
 
 
 def test_null_condition_changes_nothing(spark, tmp_path):
@@ -163,3 +164,21 @@ def test_second_writer_of_a_version_fails(book, orders):
     state = book._version(0)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         book._commit(1, "WRITE", "", state.schema, state.folders, 0, 0, 0)
+
+
+def test_a_lost_race_leaves_the_winner_readable(book, orders, spark, monkeypatch):
+    loser = VersionedTable(spark, book.root, book.partition_by)
+    monkeypatch.setattr(loser, "latest_version", lambda: 0)
+    book.delete("amount < 10")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        loser.append(orders)
+    assert rows(book.read()) == rows(orders.where("amount >= 10"))
+
+
+def test_diff_across_a_schema_change(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "wider"))
+    table.create(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"))
+    table.append(spark.createDataFrame([(3, "c", "new")], "id int, name string, note string"))
+    table.update("id = 1", {"note": F.lit("late")})
+    found = rows(table.diff(0, 2, ["id"], ["note"]), "id", "note_before", "note_after", "change")
+    assert found == [(1, None, "late", "update"), (3, None, "new", "insert")]
