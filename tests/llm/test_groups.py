@@ -4,7 +4,9 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
+from llm_fixtures import make_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from tallymill.llm import components, exact_dedup, jaccard, line_runs
@@ -144,7 +146,6 @@ def test_cut_lists_give_the_same(spark, make_docs):
     docs = make_docs(rows)
     texts = jaccard.id_and_text(docs).select("text", "doc_id", F.xxhash64("doc_id", "text").alias("row"))
     sized = texts.mapInArrow(jaccard._profiles, jaccard.PROFILE).where("part is null").select("doc_id", "row", "n", "a", "b")
-    import numpy as np
     sketch = spark.sparkContext.broadcast((np.zeros(jaccard.COUNTERS, np.uint8), dict.fromkeys(range(jaccard.COUNTERS), 5)))
     index = jaccard.stored(texts.mapInArrow(jaccard._index(sketch), "a long, b long, n int, tokens array<long>, salts array<short>").dropDuplicates(["a", "b"]).withColumn("c", F.monotonically_increasing_id()), "index")
     classes = jaccard.stored(index.select("c", "a", "b", "n").join(sized.groupBy("a", "b").agg(F.min("row").alias("rep"), F.min("doc_id").alias("first_id")), ["a", "b"]), "classes")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import make_docs  # noqa: F401
 from tallymill.llm import interpolation, mixing, rp_forest, toxicity
 
 # Vectors -------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
+from llm_fixtures import make_docs  # noqa: F401
 from tallymill.llm import automaton, byte_bpe, secrets, unigram
 
 PIECES = [
