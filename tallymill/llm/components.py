@@ -19,7 +19,8 @@ def connected(links: DataFrame) -> DataFrame:
     labels = stored(both.groupBy("c").agg(F.min("to").alias("to")).select("c", F.least("c", "to").alias("label")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("c", "to"), "to").groupBy("c").agg(F.min("label").alias("near"))
-        lower = labels.join(near, "c").select("c", "label", F.least("label", "near").alias("lower"))
+        # Written, so that rows with one frequent label can be split in the join with that label's own row.
+        lower = stored(labels.join(near, "c").select("c", "label", F.least("label", "near").alias("lower")), "lower")
         hop = lower.select(F.col("c").alias("lower"), F.col("lower").alias("next"))
         moved = stored(lower.join(hop, "lower", "left").select("c", "label", F.least("lower", F.coalesce("next", "lower")).alias("after")), "labels")
         labels = moved.select("c", F.col("after").alias("label"))

@@ -219,16 +219,23 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     pair = mine.join(other, "token").where("x.star < y.star and x.label != y.label and 5 * x.most >= 4 * y.least and 5 * y.most >= 4 * x.least")
     # Positions as favourable as the stars' members have them, at the largest sizes.
     reach = F.expr("9 * (1 + least(x.most - x.at, y.most - y.at)) >= 4 * (x.least + y.least)")
-    pair = pair.where(reach).groupBy(F.col("x.star").alias("x"), F.col("y.star").alias("y")).agg(
-        F.max(F.expr("x.radius + y.radius")).alias("radius"), F.max(F.expr("x.most + y.most")).alias("sizes"))
-    pair = stored(pair, "leaders")
+    by_token = stored(pair.where(reach).select(
+        "token", F.col("x.star").alias("x"), F.col("y.star").alias("y"), F.expr("x.radius + y.radius").alias("radii"), F.expr("x.most + y.most").alias("sizes"),
+        F.col("y.least").alias("y_least"), F.col("y.most").alias("y_most"), F.col("y.at").alias("y_at"), F.col("y.radius").alias("y_radius"),
+    ), "star-pairs")
+    pair = stored(by_token.groupBy("x", "y").agg(F.max("radii").alias("radii"), F.max("sizes").alias("sizes")), "leaders")
     apart = _compared(pair.select("x", "y"), texts, classes)
-    close = pair.join(apart, ["x", "y"]).where("9 * (apart - radius) <= sizes").select("x", "y", F.col("apart").alias("between"))
-    close = stored(close, "close")
+    close = pair.join(apart, ["x", "y"]).where("9 * (apart - radii) <= sizes").select("x", "y", F.col("apart").alias("between"))
+    close = stored(by_token.join(stored(close, "close"), ["x", "y"]), "close-pairs")
+    # Members of one star that may be linked with any member of the other, then the other star's members.
     left, right = rest.alias("l"), rest.alias("r")
-    members = close.join(left, F.col("x") == F.col("l.star")).join(right, (F.col("y") == F.col("r.star")) & (F.col("l.token") == F.col("r.token")))
-    members = members.where(F.expr("l.label != r.label and 9 * (between - l.apart - r.apart) <= l.n + r.n"))
-    members = members.where(_possible(F.col("l.n"), F.col("r.n"), F.col("l.at"), F.col("r.at")))
+    within = (close.token == F.col("l.token")) & (F.col("x") == F.col("l.star")) & F.expr(
+        "9 * (between - l.apart - y_radius) <= l.n + y_most and 5 * l.n >= 4 * y_least and 5 * y_most >= 4 * l.n"
+        " and 9 * (1 + least(l.n - l.at, y_most - y_at)) >= 4 * (l.n + y_least)")
+    some = stored(close.join(left, within).select("y", "between", "l.token", "l.c", "l.n", "l.at", "l.apart", "l.label"), "some").alias("l")
+    both = (F.col("l.token") == F.col("r.token")) & (F.col("l.y") == F.col("r.star")) & F.expr(
+        "l.label != r.label and 9 * (l.between - l.apart - r.apart) <= l.n + r.n")
+    members = some.join(right, both & _possible(F.col("l.n"), F.col("r.n"), F.col("l.at"), F.col("r.at")))
     last = _compared(members.select(F.col("l.c").alias("x"), F.col("r.c").alias("y")).distinct(), texts, classes)
     final = connected(links.select("x", "y").union(last.where("9 * apart <= both").select("x", "y")))
     # The smallest document of a component, not the smallest class number.
