@@ -110,13 +110,13 @@ def exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(lines.unionByName(lines.where("l_orderkey % 3 = 0")))
 
 
-@query("""SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(38,10))) AS DOUBLE) AS revenue
+@query("""SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(38,4))) AS DOUBLE) AS revenue
 FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey""")
 def sum_by_key(spark, sf_dir):
     return aggregate.sum_by_key(star.load(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice", "revenue")
 
 
-@query("""SELECT CAST(sum(CAST(l_quantity AS DECIMAL(38,10))) AS DOUBLE) / count(l_quantity) AS avg_quantity
+@query("""SELECT CAST(sum(CAST(l_quantity AS DECIMAL(38,4))) AS DOUBLE) / count(l_quantity) AS avg_quantity
 FROM lineitem""")
 def avg_basket(spark, sf_dir):
     return aggregate.mean_of(star.load(spark, sf_dir, "lineitem"), "l_quantity", "avg_quantity")
@@ -174,9 +174,9 @@ def weekly_rides(spark, sf_dir):
 
 
 @query("""SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS total_trips,
-CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
-CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE) / count(value) AS avg_fare_amount,
-CAST(sum(CAST(user_id AS DECIMAL(38,10))) AS DOUBLE) / count(user_id) AS avg_trip_distance
+CAST(sum(CAST(value AS DECIMAL(38,4))) AS DOUBLE) AS total_revenue,
+CAST(sum(CAST(value AS DECIMAL(38,4))) AS DOUBLE) / count(value) AS avg_fare_amount,
+CAST(sum(CAST(user_id AS DECIMAL(38,4))) AS DOUBLE) / count(user_id) AS avg_trip_distance
 FROM events GROUP BY 1""")
 def weekly_rollup(spark, sf_dir):
     return aggregate.weekly_rollup(

@@ -80,6 +80,6 @@ book AS (
          CAST(year(o_orderdate) AS INTEGER) AS order_year
   FROM orders)"""
 
-REVENUE = "CAST(round(sum(CAST(total_amount AS DECIMAL(38,10))), 2) AS DOUBLE) AS total_revenue"
+REVENUE = "CAST(round(sum(CAST(total_amount AS DECIMAL(38,4))), 2) AS DOUBLE) AS total_revenue"
 QUANTITY = "CAST(sum(quantity) AS BIGINT) AS total_quantity"
 TRANSACTIONS = "CAST(count(transaction_id) AS BIGINT) AS total_transactions"

@@ -211,8 +211,8 @@ def region_country_rollup(spark, sf_dir):
     return gold.region_rollup(_sales(spark, sf_dir), star.stores(spark, sf_dir))
 
 
-_COST = "quantity * CAST(standard_price AS DECIMAL(38,10))"
-_PROFIT = f"sum(CAST(total_amount AS DECIMAL(38,10))) - sum({_COST})"
+_COST = "quantity * CAST(standard_price AS DECIMAL(38,4))"
+_PROFIT = f"sum(CAST(total_amount AS DECIMAL(38,4))) - sum({_COST})"
 
 
 @query(f"""WITH {CALIBRATED}, {PRODUCTS}
@@ -224,7 +224,7 @@ def kpi_cards(spark, sf_dir):
 
 @query(f"""WITH {CALIBRATED}, {PRODUCTS}
 SELECT product_id, product_name, {REVENUE}, CAST(round({_PROFIT}, 2) AS DOUBLE) AS total_profit,
-CAST({_PROFIT} AS DOUBLE) / nullif(CAST(sum(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE), 0) AS margin
+CAST({_PROFIT} AS DOUBLE) / nullif(CAST(sum(CAST(total_amount AS DECIMAL(38,4))) AS DOUBLE), 0) AS margin
 FROM calibrated LEFT JOIN products USING (product_id) GROUP BY product_id, product_name""")
 def product_profit(spark, sf_dir):
     return gold.product_profit(_sales(spark, sf_dir), star.products(spark, sf_dir))
@@ -247,7 +247,7 @@ def top_products(spark, sf_dir):
 # Time intelligence on orders ---------------------------------------------------------
 
 _SERIES = """WITH sums AS (
-  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, sum(CAST(o_totalprice AS DECIMAL(38,10))) AS amount
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, sum(CAST(o_totalprice AS DECIMAL(38,4))) AS amount
   FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
 months AS (
   SELECT CAST(unnest(generate_series((SELECT min(month_start) FROM sums), (SELECT max(month_start) FROM sums),
@@ -291,7 +291,7 @@ def yoy(spark, sf_dir):
 
 @query("""WITH sums AS (
   SELECT o_orderpriority AS country, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
-         sum(CAST(o_totalprice AS DECIMAL(38,10))) AS amount
+         sum(CAST(o_totalprice AS DECIMAL(38,4))) AS amount
   FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2),
 months AS (
   SELECT country, CAST(unnest(generate_series(min(month_start), max(month_start), INTERVAL 1 MONTH)) AS DATE) AS month_start
@@ -331,7 +331,7 @@ def target_vs_actual(spark, sf_dir):
   SELECT CAST(unnest(generate_series((SELECT min(CAST(o_orderdate AS DATE)) FROM orders),
     (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY)) AS DATE) AS date),
 sums AS (
-  SELECT CAST(o_orderdate AS DATE) AS date, CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DOUBLE) AS amount
+  SELECT CAST(o_orderdate AS DATE) AS date, CAST(sum(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) AS amount
   FROM orders GROUP BY 1)
 SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
        CAST(date_trunc('week', date) AS DATE) AS week_start, coalesce(amount, 0) AS amount

@@ -77,13 +77,12 @@ def _taxi(spark, sf_dir) -> str:
 
 
 @query(f"""WITH {_TRIPS} SELECT CAST(date_trunc('week', pickup_datetime) AS DATE) AS week_start, count(*) AS total_trips,
-round(sum(total_amount), 2) AS total_revenue, round(avg(fare_amount), 4) AS avg_fare_amount, round(avg(trip_distance), 4) AS avg_trip_distance
+CAST(sum(CAST(total_amount AS DECIMAL(38,4))) AS DOUBLE) AS total_revenue,
+CAST(sum(CAST(fare_amount AS DECIMAL(38,4))) AS DOUBLE) / count(fare_amount) AS avg_fare_amount,
+CAST(sum(CAST(trip_distance AS DECIMAL(38,4))) AS DOUBLE) / count(trip_distance) AS avg_trip_distance
 FROM trips WHERE trip_distance > 0 GROUP BY 1""")
 def taxi_weekly_stored(spark, sf_dir):
-    weekly = readers.read_table(spark, f"{_taxi(spark, sf_dir)}.{taxi.TAXI_WEEKLY}")
-    return weekly.select(
-        "week_start", "total_trips", F.round("total_revenue", 2).alias("total_revenue"),
-        F.round("avg_fare_amount", 4).alias("avg_fare_amount"), F.round("avg_trip_distance", 4).alias("avg_trip_distance"))
+    return readers.read_table(spark, f"{_taxi(spark, sf_dir)}.{taxi.TAXI_WEEKLY}")
 
 
 @query(f"""WITH {_TRIPS}, clean AS (SELECT * FROM trips WHERE trip_distance > 0)
