@@ -31,7 +31,7 @@ def build_session(app_name: str = "tallymill", master: str | None = None, **conf
     """Create or reuse a session with the settings above.
 
     On a cluster leave ``master`` unset: master, memory and executors then come from
-    spark-submit, and shuffles start with several partitions per core.  In local mode the
+    spark-submit, and shuffles start with several partitions per core unless their number is set.  In local mode the
     number of shuffle partitions follows the cores.
     """
     builder = SparkSession.builder.appName(app_name)
@@ -49,7 +49,8 @@ def build_session(app_name: str = "tallymill", master: str | None = None, **conf
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if not spark.sparkContext.master.startswith("local") and spark.conf.get(initial, None) is None:
+    chosen = spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions") or spark.conf.get(initial, None) is not None
+    if not spark.sparkContext.master.startswith("local") and not chosen:
         spark.conf.set(initial, str(max(_cluster_cores(spark) * _ROUNDS, 200)))
     return spark
 
