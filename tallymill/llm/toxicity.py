@@ -24,9 +24,12 @@ from tallymill.llm.common import ROWS_AT_A_TIME, id_and_text, named, stored
 
 # Labelled rows of each label that the model is fitted on, at most: those with the smallest hash of their id.
 SAMPLE_PER_LABEL = 3000
-# Words the model may weigh at most, and how strongly a word's share must differ between the labels (in standard errors).
+# Words the model may weigh at most: those of greatest evidence.
 MOST_WORDS = 1024
-LEAST_Z = 8.0
+# A word is weighed if so many toxic texts of the sample have it (all, if there are fewer), and its share of them is
+# so many times that of the clean ones, whatever the sample's size.
+LEAST_TOXIC = 2
+LEAST_RATIO = 20
 # So many times as many toxic as clean texts of the sample must have a word's beginning.
 CLEAN_TO_TOXIC = 200
 # Severity grades of the labelled rows: 0 is clean; a toxic text has the number of its indicative words with
@@ -56,11 +59,12 @@ class Model:
         return float(sum(above)), bool(above) and above[0] >= 0.5
 
 
-def fit_ordinal(present: list[np.ndarray], grades: np.ndarray, n_words: int, steps=800, rate=0.05, shrink=0.5) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(present: list[np.ndarray], grades: np.ndarray, n_words: int, steps=800, rate=0.05, shrink: float | np.ndarray = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of greatest penalised likelihood (Adam on all rows).
 
     ``present`` holds each row's word numbers.  Thresholds are a first one and positive steps, so they
-    stay ordered.  Rows of grade 0 and the others weigh one half together each.
+    stay ordered.  Rows of grade 0 and the others weigh one half together each.  ``shrink`` is one number or
+    one for each word.
     """
     top = int(grades.max())
     row = np.repeat(np.arange(len(present)), [len(x) for x in present])
@@ -113,6 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
 
     Labels that are null, or of ids that no document has, are left out; of repeated labels of an id the
     greater counts.  Without documents of both labels the model has no thresholds and finds nothing.
+    Words are chosen by counts that hold at every size; a word's evidence is its smoothed log-odds between the
+    labels in standard errors, and the weaker it is beside the strongest, the more its weight is shrunk: words
+    met by chance count only where nothing better explains the labels.
     The driver gets at most ``2 * SAMPLE_PER_LABEL`` lists of word numbers and ``MOST_WORDS`` words.
     """
     texts = id_and_text(docs, id_col, text_col)
@@ -131,28 +138,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     listed = _listed(sample, lambda text, toxic: sorted(words(text)), "string")
     counted = listed.select("toxic", F.explode("found").alias("word")).groupBy("word").agg(
         F.count_if("toxic").alias("t"), F.count_if(~F.col("toxic")).alias("c"))
-    p, q = (F.col("t") + 0.5) / (n_toxic + 1.0), (F.col("c") + 0.5) / (n_clean + 1.0)
-    pooled = (F.col("t") + F.col("c") + 1.0) / (n_toxic + n_clean + 2.0)
-    z = (p - q) / F.sqrt(pooled * (1 - pooled) * (1.0 / n_toxic + 1.0 / n_clean))
+    t, c = F.col("t"), F.col("c")
+    cells = [t + 0.5, F.lit(n_toxic) - t + 0.5, c + 0.5, F.lit(n_clean) - c + 0.5]
+    odds = F.log(cells[0]) - F.log(cells[1]) - F.log(cells[2]) + F.log(cells[3])
+    evidence = odds / F.sqrt(sum(1.0 / x for x in cells[1:]) + 1.0 / cells[0])
+    often = (t >= min(LEAST_TOXIC, n_toxic)) & (t * n_clean >= c * (LEAST_RATIO * n_toxic)) & (evidence > 0)
     # A beginning stands for words not seen yet, so it must hardly occur in clean texts.
-    sure = ~F.col("word").endswith("*") | (F.col("c") * CLEAN_TO_TOXIC <= F.col("t"))
-    best = counted.withColumn("z", z).where((F.abs("z") >= LEAST_Z) & sure).orderBy(F.abs("z").desc(), "word").limit(MOST_WORDS)
-    found = [(r["word"], r["z"]) for r in best.select("word", "z").collect()]
+    sure = ~F.col("word").endswith("*") | (c * CLEAN_TO_TOXIC <= t)
+    best = counted.where(often & sure).withColumn("evidence", evidence).orderBy(F.desc("evidence"), "word").limit(MOST_WORDS)
+    found = [(r["word"], r["evidence"]) for r in best.select("word", "evidence").collect()]
     if not found:
         return Model({}, ())
     number = {word: k for k, (word, _) in enumerate(found)}
-    indicative = {word for word, value in found if value > 0}
+    strength = np.array([value for _, value in found])
 
     def graded(text: str, toxic: bool) -> list[int]:
         """The grade, then the numbers of the words."""
         found = words(text)
-        grade = min(max(len({w[:4] for w in found & indicative}), 1), MOST_SEVERE) if toxic else 0
+        grade = min(max(len({w[:4] for w in found & number.keys()}), 1), MOST_SEVERE) if toxic else 0
         return [grade, *sorted(number[w] for w in found & number.keys())]
 
     rows = [r["found"] for r in _listed(sample, graded, "int").collect()]
     grades = np.array([r[0] for r in rows])
     _, grades = np.unique(grades, return_inverse=True)  # grades that occur
-    weights, cuts = fit_ordinal([np.array(r[1:], np.int64) for r in rows], grades, len(number))
+    weights, cuts = fit_ordinal([np.array(r[1:], np.int64) for r in rows], grades, len(number), shrink=0.5 * (strength.max() / strength) ** 2)
     return Model({w: float(weights[k]) for w, k in number.items()}, tuple(map(float, cuts)))
 
 

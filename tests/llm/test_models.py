@@ -246,3 +246,20 @@ def test_toxicity_edge_cases(spark, make_docs):
         rated = toxicity.severity(docs, model)
         assert rated.count() == 6 and rated.where("is_toxic or severity != 0").isEmpty()
     assert toxicity.severity(docs.limit(0), toxicity.fit(docs.limit(0), one_sided)).isEmpty()
+
+
+def test_few_labels_find_their_toxic_documents(spark, make_docs):
+    rows, labels = toxic_docs(40, 8)
+    docs = make_docs(rows)
+    for n in (6, 12, 40):
+        toxic = {i for i, t in labels[:n] if t}
+        model = toxicity.fit(docs, spark.createDataFrame(labels[:n], "doc_id long, toxic int"))
+        found = {r["doc_id"] for r in toxicity.severity(docs, model).where("is_toxic").collect()}
+        assert toxic and found & set(range(n)) == toxic, n
+
+
+def test_labelled_toxic_documents_of_the_smallest_table_are_found(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rated = toxicity.severity(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
+    got = [tuple(r) for r in rated.join(labels, "doc_id").where("toxic is not null").select("toxic", "is_toxic").collect()]
+    assert (1, True) in got and all(bool(toxic) == found for toxic, found in got)
