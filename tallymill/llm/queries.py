@@ -112,6 +112,36 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op5_long_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of runs of lines and of single long lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.delete_repeated_runs(docs, long_words=line_runs.LONG_WORDS).select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("deleted").cast("long").alias("n_deleted"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+OP5_LONG_SQL = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+places AS (SELECT doc_id, i, lines[i + 1] AS line, lines[i + 2] AS next, i + 1 < len(lines) AS has_next
+           FROM (SELECT doc_id, lines, unnest(range(len(lines))) AS i FROM split)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, i) AS copy FROM places WHERE has_next)
+  WHERE copy > 1),
+later_long AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS copy FROM places
+    WHERE len(list_filter(regexp_split_to_array(line, '[\x09-\x0D\x20]+'), lambda word: word <> '')) >= 50)
+  WHERE copy > 1),
+gone AS (SELECT doc_id, i FROM later UNION SELECT doc_id, i + 1 FROM later UNION SELECT doc_id, i FROM later_long),
+marked AS (SELECT p.doc_id, p.i, p.line, g.i IS NOT NULL AS deleted
+           FROM places p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE deleted) AS n_deleted,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT deleted), '')) AS text_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op6_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents under the mixture and under the base model."""
     return interpolation.score(table(spark, sf_dir, "documents"))
@@ -156,6 +186,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
     "op5_line_runs": op5_line_runs,
+    "op5_long_lines": op5_long_lines,
     "op6_interpolation": op6_interpolation,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
@@ -166,5 +197,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op4_mixing": OP4_SQL,
     "op5_line_runs": OP5_SQL,
+    "op5_long_lines": OP5_LONG_SQL,
     "op8_exact_dedup": OP8_SQL,
 }

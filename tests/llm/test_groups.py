@@ -201,5 +201,15 @@ def test_line_runs_equal_brute_force(spark, make_docs, least):
         assert (r["text"] or "", r["deleted"], r["n_lines"]) == (text, deleted, len((source or "").split("\n")))
 
 
+def test_long_single_lines_go_between_other_neighbours(spark, make_docs):
+    long, short = " ".join(f"w{k}" for k in range(50)), " ".join(f"v{k}" for k in range(49))
+    rows = [(1, f"a\n{long}\nb\n{short}"), (2, f"c\n{long}\nd"), (3, long), (4, f"{short}\nx\n{long}\n{long}"), (5, "b\nc"), (3, long)]
+    got = line_runs.delete_repeated_runs(make_docs(rows), long_words=50)
+    assert sorted((r["doc_id"], r["text"], r["deleted"]) for r in got.collect()) == [
+        (1, rows[0][1], []), (2, "c\nd", [1]), (3, "", [0]), (3, "", [0]), (4, f"{short}\nx", [2, 3]), (5, "b\nc", [])]
+    without = line_runs.delete_repeated_runs(make_docs(rows))
+    assert without.where(F.size("deleted") > 0).isEmpty()
+
+
 def test_line_runs_of_an_empty_table(spark, make_docs):
     assert line_runs.delete_repeated_runs(make_docs([])).isEmpty()
