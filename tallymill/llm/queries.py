@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm import byte_bpe, exact_dedup, interpolation, jaccard, line_runs, mixing, rp_forest, secrets, toxicity, unigram
+from tallymill.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +57,9 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copies of all documents when sources are to have shares after the square root of their sizes."""
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs.select("doc_id", "source"), mixing.target_rates(docs)).select("doc_id", "source", "copy", "shuffle_key")
+    # Whole rows are shuffled and written; the result names the copies.
+    mixed = stored(mixing.mix(docs, mixing.target_rates(docs)), "mixed")
+    return mixed.select("doc_id", "source", "copy", "shuffle_key")
 
 
 OP4_SQL = """

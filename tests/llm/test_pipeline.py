@@ -12,6 +12,7 @@ from test_texts import brute_secrets
 
 import corpus_pipeline
 from tallymill.llm import byte_bpe, exact_dedup, mixing, queries, toxicity, unigram
+from tallymill.llm.common import stored as queries_stored
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +118,14 @@ def test_native_operators_run_no_python(spark, sf_dir):
 def test_toxicity_query_covers_every_document(spark, sf_dir, documents):
     got = queries.op10_toxicity(spark, sf_dir)
     assert got.count() == len(documents) and got.where(F.col("severity").isNull()).isEmpty()
+
+
+def test_mixing_query_moves_whole_rows(spark, sf_dir, documents, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "stored", lambda df, label: written.append(queries_stored(df, label)) or written[-1], raising=False)
+    got = queries.op4_mixing(spark, sf_dir)
+    (mixed,) = written
+    assert set(mixed.columns) == {*spark.read.parquet(f"{sf_dir}/documents.parquet").columns, "copy", "shuffle_key"}
+    texts = {r["doc_id"]: r["text"] for r in documents}
+    rows = mixed.select("doc_id", "text").collect()
+    assert len(rows) == got.count() and all(texts[r["doc_id"]] == r["text"] for r in rows)
