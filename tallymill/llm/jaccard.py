@@ -12,7 +12,8 @@ Set relations are used to skip work:
   So what is known of the leaders skips or settles their members.  Leaders of lists that still touch several
   components are compared, and members only where the leaders' distance leaves a link possible.
 
-No list is held by a task as a whole, and a list's pairs are never written out.
+No list is held by a task as a whole.  Pairs of members are not written out, but pairs of a list's leaders are,
+as far as sizes and positions leave a link possible.
 """
 
 from __future__ import annotations
