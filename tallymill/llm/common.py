@@ -12,6 +12,8 @@ from tallymill.session import scratch_path
 
 # Rows turned into Python objects at a time.
 ROWS_AT_A_TIME = 256
+# A table of sums by label, language or the like is broadcast if it was counted and has at most so many rows.
+MOST_BROADCAST_ROWS = 10_000
 
 
 def named(name: str):
@@ -34,6 +36,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """The table, written and counted, for a join: broadcast if it has at most ``most`` rows, else joined by shuffling."""
+    written = stored(df, "side")
+    return F.broadcast(written) if written.count() <= most else written
+
+
 def map_texts(
     docs: DataFrame, make: Callable[[], Callable[[list[str]], list[pa.Array]]], schema: str, id_col: str, text_col: str,
 ) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import byte_bpe, exact_dedup, interpolation, jaccard, line_runs, mixing, rp_forest, secrets, toxicity, unigram
+from tallymill.llm import (
+    byte_bpe, collocations, exact_dedup, interpolation, jaccard, line_runs, mixing, quality_rules, rp_forest, secrets, toxicity, unigram, vector_codes,
+)
 from tallymill.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +185,90 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs.select("doc_id", "text"), model).select("doc_id", "severity", "is_toxic")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector, its error, and the codebooks' digest."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def _round_sql(k: int) -> str:
+    """Nearest entries under the codebooks of round ``k``."""
+    return f"""
+near{k} AS (
+  SELECT row, p, min(d * 64 + e) % 64 AS e, min(d) AS d FROM (
+    SELECT row, p, e, list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - c[i]) * (q[i] - c[i])))::BIGINT AS d
+    FROM parts JOIN book{k} USING (p)) GROUP BY row, p)"""
+
+
+def _moved_sql(k: int) -> str:
+    """The codebooks of round ``k`` from the members of the round before."""
+    return f"""
+sums{k} AS (
+  SELECT p, e, place, sum(q[place])::BIGINT AS s, count(*) AS n
+  FROM (SELECT p, e, q, unnest(range(1, len(q) + 1)) AS place FROM parts JOIN near{k - 1} USING (row, p)) GROUP BY ALL),
+book{k} AS (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k - 1} b LEFT JOIN (
+    SELECT p, e, list((s - (s % n + n) % n) // n ORDER BY place) AS c FROM sums{k} GROUP BY p, e) m USING (p, e))"""
+
+
+OP11_SQL = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id, label, embedding AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT row, vec_id, p, list_transform(v[p * w + 1 : (p + 1) * w], lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM (SELECT *, len(v) // 16 AS w, unnest(range(16)) AS p FROM kept)),
+ids AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM (SELECT DISTINCT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+book0 AS (SELECT p, e, min(q) AS c FROM parts JOIN ids USING (vec_id) GROUP BY p, e),
+{_round_sql(0)},{_moved_sql(1)},{_round_sql(1)},{_moved_sql(2)},{_round_sql(2)},
+coded AS (SELECT row, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY row),
+digest AS (
+  SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, place)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS place FROM book2))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row), digest
+"""
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, perplexity and verdict of every whole document."""
+    return quality_rules.rate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "perplexity")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents")).withColumn("rank", F.col("rank").cast("long"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+sized AS (SELECT lang, w, unnest([1, 2, 3, 4, 5]) AS size FROM pieces),
+phrases AS (
+  SELECT lang, size, array_to_string(words, ' ') AS phrase, words, f FROM (
+    SELECT lang, size, words, count(*) AS f FROM (
+      SELECT lang, size, w[i : i + size - 1] AS words FROM (SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM sized))
+    GROUP BY lang, size, words HAVING count(*) >= 100)),
+covered AS (
+  SELECT DISTINCT lang, phrase FROM (
+    SELECT lang, f, array_to_string(words[i : i + part - 1], ' ') AS phrase FROM (
+      SELECT *, unnest(range(1, size - part + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS part FROM phrases)))
+  JOIN (SELECT lang, phrase, f AS a FROM phrases) USING (lang, phrase) WHERE 100 * f >= 100 * a),
+cuts AS (SELECT lang, phrase, words, f AS a, size, unnest(range(1, size)) AS cut FROM phrases ANTI JOIN covered USING (lang, phrase) WHERE size > 1),
+scored AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN phrases x ON x.lang = c.lang AND x.words = c.words[1 : cut] JOIN phrases y ON y.lang = c.lang AND y.words = c.words[cut + 1 : c.size]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_rp_forest": op1_rp_forest,
     "op2_secrets": op2_secrets,
@@ -195,6 +281,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -202,4 +291,6 @@ ORACLES: dict[str, str] = {
     "op5_line_runs": OP5_SQL,
     "op5_long_lines": OP5_LONG_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op11_vector_codes": OP11_SQL,
+    "op13_collocations": OP13_SQL,
 }
