@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ from tallymill.session import scratch_path
 ROWS_AT_A_TIME = 256
 # A table of sums by label, language or the like is broadcast if it was counted and has at most so many rows.
 MOST_BROADCAST_ROWS = 10_000
+# The same for a table of single row keys (8 bytes each).
+MOST_BROADCAST_KEYS = 500_000
+# Seeds that are tried for row keys.
+KEY_SEEDS = 3
 
 
 def named(name: str):
@@ -29,19 +35,71 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+# Tables written inside each open ``scratch_cleared`` block, the innermost last.
+_open_blocks: list[list[tuple]] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared scratch folder and read it: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, label)
+    if _open_blocks:
+        _open_blocks[-1].append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
-    """The table, written and counted, for a join: broadcast if it has at most ``most`` rows, else joined by shuffling."""
-    written = stored(df, "side")
+@contextmanager
+def scratch_cleared():
+    """Tables that are stored inside are emptied at the end, so nothing that needs them may be used behind it."""
+    _open_blocks.append([])
+    done = False
+    try:
+        yield
+        done = True
+    finally:
+        written = _open_blocks.pop()
+        for spark, path in written if done else []:
+            spark.range(0).write.mode("overwrite").parquet(path)
+
+
+def stored_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` returns, stored; the tables that it stored on the way are emptied."""
+    with scratch_cleared():
+        out = stored(make(), label)
+        _, path = _open_blocks[-1].pop()
+    if _open_blocks:
+        _open_blocks[-1].append((out.sparkSession, path))
+    return out
+
+
+def hinted(written: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """A stored table for a join: broadcast if it was counted and has at most ``most`` rows, else joined by shuffling."""
     return F.broadcast(written) if written.count() <= most else written
 
 
+def small_side(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """The table, stored, for a join (see :func:`hinted`)."""
+    return hinted(stored(df, "side"), most)
+
+
+def row_keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a unique long ``name`` that is the same whenever the table is read.
+
+    A row of Parquet files is known by a hash of its file and its place there, and nothing is written.  The keys are
+    counted to see that they differ; where they do not (a hash collision under every seed, or rows that a join or
+    ``explode`` made of one), and for tables of another origin, the table is stored first.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+        for seed in range(KEY_SEEDS):
+            keyed = docs.withColumn(name, F.xxhash64(F.lit(seed), place["file_path"], place["row_index"]))
+            if keyed.groupBy(named(name)).count().where("count > 1").isEmpty():
+                return keyed
+    except AnalysisException:  # not a scan of Parquet files
+        pass
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "keyed")
+
+
 def map_texts(
     docs: DataFrame, make: Callable[[], Callable[[list[str]], list[pa.Array]]], schema: str, id_col: str, text_col: str,
 ) -> DataFrame:

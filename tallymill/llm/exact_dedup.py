@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import free_name, named, stored
+from tallymill.llm.common import MOST_BROADCAST_KEYS, free_name, hinted, named, row_keyed, stored, stored_alone
 
 # The characters that do not count.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -66,18 +66,21 @@ def groups(docs: DataFrame, id_col="doc_id", text_col="text", key_col: str | Non
         "row_key", "doc_id", "n", F.sha2("norm", 256).alias("text_sha256"),
         F.transform(chunks(F.col("norm")), lambda c: identify(c, seed)).alias("recipe"),
     ), "recipes")
-    best = F.max(F.struct("n", F.col("doc_id").isNotNull().alias("has_id"), (-F.col("doc_id")).alias("minus_id"), (-F.col("row_key")).alias("minus_key")))
+    best = F.min(F.struct((-F.col("n")).alias("minus_n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
     # Written, so that the join has an exchange of its own and a hot group's rows can be split.
     found = stored(recipes.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "groups")
     return recipes.join(found, "recipe").select(
-        "row_key", "doc_id", (-F.col("best.minus_id")).alias("keep_id"), "group_size",
-        (F.col("row_key") == -F.col("best.minus_key")).alias("kept"), "text_sha256",
+        "row_key", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
+        (F.col("row_key") == F.col("best.row_key")).alias("kept"), "text_sha256",
     ).select(*(["row_key"] if key_col else []), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def exact_dedup(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one row of each group of equal texts."""
+    """The rows of ``docs`` that stay, with all their columns: one row of each group of equal texts.
+
+    Only the keys of the rows to drop outlast the call in the scratch folder.
+    """
     key = free_name(docs, "row_key")
-    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
-    dropped = groups(keyed, id_col, text_col, key).where(~F.col("kept")).select(F.col("row_key").alias(key))
-    return keyed.join(dropped, key, "left_anti").select(*map(named, docs.columns))
+    keyed = row_keyed(docs, key)
+    dropped = stored_alone(lambda: groups(keyed, id_col, text_col, key).where(~F.col("kept")).select(F.col("row_key").alias(key)), "dropped")
+    return keyed.join(hinted(dropped, MOST_BROADCAST_KEYS), key, "left_anti").select(*map(named, docs.columns))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import ROWS_AT_A_TIME, free_name, id_and_text, named, stored
+from tallymill.llm.common import MOST_BROADCAST_KEYS, ROWS_AT_A_TIME, free_name, hinted, id_and_text, named, row_keyed, stored, stored_alone
 from tallymill.llm.components import connected
 from tallymill.llm.shingles import Shingler, set_key
 
@@ -256,11 +256,21 @@ def _labelled(sized: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all columns: of each component the one with the smallest id."""
+    """The rows of ``docs`` that stay, with all columns: of each component the one with the smallest id (null ids last).
+
+    Only the keys of the rows to drop outlast the call in the scratch folder.
+    """
     key = free_name(docs, "row_key")
-    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
-    found = components(keyed, key, text_col).select(F.col("doc_id").alias("k"), "component_id")
-    ranked = keyed.select(F.col(key).alias("k"), F.struct(named(id_col).isNull(), named(id_col), F.col(key)).alias("order")).join(found, "k")
-    kept = ranked.groupBy("component_id").agg(F.min_by("k", "order").alias("k"))
-    dropped = found.select("k").join(kept, "k", "left_anti").select(F.col("k").alias(key))
-    return keyed.join(dropped, key, "left_anti").select(*map(named, docs.columns))
+    keyed = row_keyed(docs, key)
+
+    def dropped() -> DataFrame:
+        found = stored(components(keyed, key, text_col).select(F.col("doc_id").alias("k"), "component_id"), "components")
+        # Rows alone in their component stay whatever their id is.
+        several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+        grouped = found.join(several, "component_id")
+        ranked = keyed.select(F.col(key).alias("k"), F.struct(named(id_col).isNull(), named(id_col), F.col(key)).alias("order")).join(grouped, "k")
+        kept = ranked.groupBy("component_id").agg(F.min_by("k", "order").alias("k"))
+        return grouped.select("k").join(kept, "k", "left_anti").select(F.col("k").alias(key))
+
+    gone = stored_alone(dropped, "dropped")
+    return keyed.join(hinted(gone, MOST_BROADCAST_KEYS), key, "left_anti").select(*map(named, docs.columns))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import ROWS_AT_A_TIME, id_and_text, named, stored
+from tallymill.llm.common import ROWS_AT_A_TIME, free_name, id_and_text, named, stored
 
 # Labelled rows of each label that the model is fitted on, at most: those with the smallest hash of their id.
 SAMPLE_PER_LABEL = 3000
@@ -175,5 +175,6 @@ def severity(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
         return pd.DataFrame([model.score(t or "") for t in column], columns=["severity", "is_toxic"])
 
     held = docs.drop("severity", "is_toxic")
-    out = held.withColumn("_rated", rated(named(text_col).cast("string")))
-    return out.select(*[named(c) for c in held.columns], "_rated.severity", "_rated.is_toxic")
+    both = free_name(held, "rated")
+    out = held.withColumn(both, rated(named(text_col).cast("string")))
+    return out.select(*[named(c) for c in held.columns], f"{both}.severity", f"{both}.is_toxic")

@@ -69,7 +69,8 @@ def test_secrets_equal_brute_force(spark, make_docs):
 def test_added_rules():
     scanner = secrets.Scanner().link()
     assert scanner.spans("é-----BEGIN RSA PRIVATE KEY-----") == [(1, 32, 3)]
-    assert scanner.spans("ghp_" + "a1" * 18) == [(0, 40, 4)]
+    assert scanner.spans("ghp_" + "a1" * 18) == [(0, 40, 4), (4, 40, 2)]  # the base rule's span stays
+    assert scanner.spans("ghp_" + "z1" * 18) == [(0, 40, 4)]
 
 
 @pytest.mark.parametrize("pattern", ["a(b|cd)*e?", "[a-c]{2,3}d", "(ab){2,}", "x?y+z*", "a{0,2}b"])
