@@ -31,6 +31,11 @@ def first_of_month(timestamp: Column | str) -> Column:
     return F.trunc(_col(timestamp).cast("date"), "month")
 
 
+def first_of_year(timestamp: Column | str) -> Column:
+    """First day of the year as a DATE."""
+    return F.trunc(_col(timestamp).cast("date"), "year")
+
+
 def minutes_between(start: Column | str, end: Column | str) -> Column:
     """Signed duration in minutes, with sub-second precision."""
     return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(_MICROS_PER_MINUTE)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymill.session import scratch_path
 
@@ -24,13 +25,14 @@ def with_row_numbers(df: DataFrame, name: str = "row_number", *order: str | Colu
     partition; a partition's first number follows from the counts of those before it.  Only these counts, one for each
     partition, pass through the driver.  Rows with equal order columns are told apart by a hash of the row, so that a frequent value
     is dealt to several tasks; which of them comes first is the hash's choice, the same in every run, and copies
-    of one row get successive numbers.  The numbered rows are written once, as a second run could deal them differently.
+    of one row get successive numbers.
     """
     spark = df.sparkSession
     by = [c if isinstance(c, Column) else F.col(c) for c in order]
     if by:
         by.append(F.xxhash64(*df.columns))
         df = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    # Written, as a second run could deal the rows out differently.
     placed = _stored(df.withColumn(name, F.monotonically_increasing_id()))
     part = F.shiftright(F.col(name), _ROW_BITS)
     counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
@@ -45,15 +47,20 @@ def with_row_numbers(df: DataFrame, name: str = "row_number", *order: str | Colu
     return joined.withColumn(name, number).drop("_part", "_before")
 
 
-def with_ranks(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` with ``row_number`` in the order of ``keys`` (see :func:`with_row_numbers`) and ``rank``, the smallest number of equal keys.
+def with_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
+    """``df`` with ``rank``, the place of its ``keys`` among all rows, equal for equal keys, and ``row_number``.
 
-    Equal keys are reduced to one row before they meet, and the join splits a frequent key's rows.
+    ``order`` is how rows are numbered and begins with the keys (ascending without it).  Equal keys are reduced to one row before they meet
+    their rows again, and the join splits a frequent key's rows.
     """
-    numbered = _stored(with_row_numbers(df, "row_number", *keys))
+    numbered = with_row_numbers(df, "row_number", *(order or keys))
     ties = numbered.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("row_number").alias("rank"))
-    same = None
+    same = F.lit(True)
     for k in keys:
-        equal = F.col(k).eqNullSafe(F.col(f"_{k}"))
-        same = equal if same is None else same & equal
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     return numbered.join(ties, same).drop(*[f"_{k}" for k in keys])
+
+
+def in_key_order(grouped: DataFrame, *keys: str) -> DataFrame:
+    """Grouped rows as they are shown: in the order of their keys, null first."""
+    return grouped.orderBy(*keys)

@@ -29,18 +29,18 @@ def _with_date_parts(days: DataFrame) -> DataFrame:
 def _dense(sums: DataFrame, period: str, step: str, keys: Sequence[str]) -> DataFrame:
     """Fill the gaps of periodic sums with zero, from the first to the last period per key.
 
-    ``sums`` has one row per key and period.  The periods of a key, at most the length of
-    the calendar, are gathered in a map, so the facts are read once and nothing is joined.
+    ``sums`` has one row per key and period.  A calendar is generated for each key and joined with the sums by key and
+    period, so a key with a stray far date costs its own periods and no more.
     """
-    spans = sums.groupBy(*keys).agg(
-        F.min(period).alias("_first"), F.max(period).alias("_last"),
-        F.map_from_entries(F.collect_list(F.struct(period, "amount"))).alias("_amounts"),
-    )
-    amount = F.coalesce(F.try_element_at("_amounts", F.col(period)), F.lit(0))
-    return (
-        spans.select(*keys, "_amounts", _each("_first", "_last", step).alias(period))
-        .select(*keys, period, amount.alias("amount"))
-    )
+    # The condition on ``_n`` is always true; it keeps this plan equal to the join's other side, whose shuffle
+    # output Spark then reads twice instead of scanning the facts again.
+    spans = sums.groupBy(*keys).agg(F.min(period).alias("_first"), F.max(period).alias("_last"), F.count("amount").alias("_n")).where("_n >= 0")
+    days = spans.select(*[F.col(k).alias(f"_{k}") for k in keys], _each("_first", "_last", step).alias("_period"))
+    same = F.col("_period") == F.col(period)
+    for k in keys:
+        same = same & F.col(f"_{k}").eqNullSafe(F.col(k))
+    return days.join(sums, same, "left").select(
+        *[F.col(f"_{k}").alias(k) for k in keys], F.col("_period").alias(period), F.coalesce("amount", F.lit(0)).alias("amount"))
 
 
 def sales_by_calendar(df: DataFrame, timestamp: str, value: str) -> DataFrame:

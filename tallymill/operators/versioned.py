@@ -94,18 +94,24 @@ class VersionedTable:
         found = {_partition_key(folder)[at] for folder in self._version().folders}
         return sorted(found - {None})
 
+    def changed_rows(self, before: int | None, after: int) -> tuple[DataFrame, DataFrame]:
+        """Rows of the folders that only the older version has, and of those that only the newer one has.
+
+        A row that was carried over by a rewrite of its folder is in both.  Without an older version all rows are new.
+        """
+        new = self._version(after)
+        old = _Version(-1, new.schema, frozenset()) if before is None else self._version(before)
+        both = self._widened(old.schema, new.schema)
+        gone, came = self._read(old, old.folders - new.folders), self._read(new, new.folders - old.folders)
+        return self._shaped(gone, both), self._shaped(came, both)
+
     def diff(self, before: int, after: int, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
         """Rows that differ between two versions.  Folders both versions share are not read.
 
         A column that one version lacks is null there.  Where the schemas differ, rows of shared folders
         are null in the new column on both sides, so leaving them out changes nothing.
         """
-        old, new = self._version(before), self._version(after)
-        both = self._widened(old.schema, new.schema)
-        return dml.row_diff(
-            self._shaped(self._read(old, old.folders - new.folders), both),
-            self._shaped(self._read(new, new.folders - old.folders), both), keys, columns,
-        )
+        return dml.row_diff(*self.changed_rows(before, after), keys, columns)
 
     # Changing -----------------------------------------------------------------------
 

@@ -1,13 +1,14 @@
 """Retail medallion: raw CSV to bronze, validated silver with quarantine, gold tables.
 
-The period is the date or the month of sale, whichever gives partitions of a good size.
+The period is the date, the month or the year of sale, whichever gives partitions of a good size.
 Everything lives below one root folder::
 
-    bronze/sales/load=<id>/ingestion_date=<d>/transaction_period=<d>/
-                                                 raw rows with load metadata
+    bronze/sales/load=<id>/malformed=<b>/ingestion_date=<d>/transaction_period=<d>/
+                                                 raw rows with load metadata; of malformed lines the text
     silver/{products,stores}                     cleansed masters (snapshots)
     silver/{sales,quarantine}                    versioned tables, partitioned like bronze
     gold/<name>                                  aggregates (snapshots)
+    gold/state/<side>/<name>, gold/applied       sums that gold is kept up to date from, and the silver version in them
     logs                                         run log
 """
 
@@ -23,30 +24,44 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 from tallymill.fixed_values import (
     BRONZE_LAYER, BRONZE_PIPELINE, LOOKBACK, SILVER_LAYER, SILVER_PIPELINE, SOURCE_SYSTEM,
 )
-from tallymill.functions.columns import first_of_month, holds
+from tallymill.functions.columns import first_of_month, first_of_year, holds, money
 from tallymill.operators import gold
 from tallymill.operators.clean import align_to, calibrate, normalise_sale_types
 from tallymill.operators.dedup import latest_per_key, master_rows
 from tallymill.operators.incremental import look_back_bound, not_before
 from tallymill.operators.layout import sized_for_write
+from tallymill.operators.maintained import Measures, plain_sums, refreshed, summary
 from tallymill.operators.validate import REASONS, VALID, flag_rows
 from tallymill.operators.versioned import VersionedTable
 from tallymill.plans.runlog import RunLog
 from tallymill.schemas import BRONZE_SALES, PRODUCTS, RAW_SALES, SILVER_SALES, STORES, table
 from tallymill.sinks.writers import overwrite_path, overwrite_path_keeping_columns
-from tallymill.sources.readers import path_exists, read_csv, read_path, with_load_metadata
+from tallymill.sources.readers import RAW_LINE, path_exists, read_csv, read_csv_checked, read_path, with_load_metadata
 
 NEWEST_FIRST = ["ingestion_timestamp", "transaction_timestamp", "source_file"]
 KEYS = ["transaction_id"]
 _PERIOD = "transaction_period"
 _LATE = "_late"
 _PERIOD_FIELD = table(f"{_PERIOD} date").fields
-_PERIODS = {"day": F.to_date, "month": first_of_month}
+_PERIODS = {"day": F.to_date, "month": first_of_month, "year": first_of_year}
+_MALFORMED = "malformed"
 _BRONZE = StructType(BRONZE_SALES.fields + _PERIOD_FIELD)
+_BRONZE_STORED = StructType([*BRONZE_SALES.fields]).add(RAW_LINE, StringType()).add(_MALFORMED, "boolean").add(_PERIOD, "date")
 _STORED_SALES = StructType(SILVER_SALES.fields + _PERIOD_FIELD)
 _IDENTITY = "row_identity"
 _STORED_REJECTS = StructType(SILVER_SALES.fields + _PERIOD_FIELD).add(REASONS, ArrayType(StringType())).add(_IDENTITY, "long")
 TOO_LATE = "older_than_look_back"
+MALFORMED_LINE = "malformed_line"
+
+
+def _states() -> dict[str, tuple[dict[str, Column], Measures]]:
+    """What gold is kept up to date from: sums that add up to every gold table's, and each product's price range."""
+    sums = {"revenue": money("total_amount"), "quantity": F.col("quantity").cast("long"), "price_sum": money("unit_price")}
+    counts = {"transactions": F.col("transaction_id"), "price_count": F.col("unit_price")}
+    return {
+        "store_day": ({"sales_date": F.to_date("transaction_timestamp"), "store_id": F.col("store_id")}, Measures(sums, counts)),
+        "product": ({"product_id": F.col("product_id")}, Measures(sums, counts, {"price": F.col("unit_price")})),
+    }
 
 
 def flag_sales(sales: DataFrame, products: DataFrame, stores: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
@@ -91,38 +106,56 @@ class RetailLakehouse:
     # Bronze -------------------------------------------------------------------------
 
     def ingest(self, raw: str | list[str]) -> int:
-        """Read a CSV folder whole and add it to bronze: a re-run adds the rows again.
+        """Read a CSV folder whole and add it to bronze: a re-run adds the rows again.  Returns the rows, without malformed lines.
 
         ``tallymill.streaming`` has the form that takes only files not seen before.
         """
         with self.log.run(BRONZE_PIPELINE, BRONZE_LAYER) as run:
-            rows = with_load_metadata(read_csv(self.spark, raw, RAW_SALES), SOURCE_SYSTEM)
+            rows = with_load_metadata(read_csv_checked(self.spark, raw, RAW_SALES), SOURCE_SYSTEM)
             load_id = datetime.now(timezone.utc).strftime("batch-%Y%m%dT%H%M%S%f")
-            run.processed = self.write_bronze(rows, load_id)
+            run.processed, run.rejected = self.write_bronze(rows, load_id)
         return run.processed
 
-    def write_bronze(self, rows: DataFrame, load_id: str) -> int:
-        """Store one load.  The load has a folder of its own, so repeating it replaces it."""
+    def write_bronze(self, rows: DataFrame, load_id: str) -> tuple[int, int]:
+        """Store one load; returns the rows and the malformed lines.
+
+        The load has a folder of its own, so repeating it replaces it.  Malformed lines lie in folders of their own,
+        with what could be read of them, and reach the quarantine with their text (see :meth:`rejected`).
+        """
         path = f"{self.root}/bronze/sales/load={load_id}"
+        if RAW_LINE not in rows.columns:
+            rows = rows.withColumn(RAW_LINE, F.lit(None).cast("string"))
+        broken = F.col(RAW_LINE).isNotNull()
         folders = {
+            _MALFORMED: broken,
             "ingestion_date": F.to_date("ingestion_timestamp"),
-            _PERIOD: self.period_of(F.col("transaction_timestamp")),
+            _PERIOD: F.when(~broken, self.period_of(F.col("transaction_timestamp"))),
         }
         counter = Observation()
-        sized = sized_for_write(rows.withColumns(folders), tuple(folders)).observe(counter, F.count(F.lit(1)).alias("rows"))
+        counts = [F.count_if(~broken).alias("rows"), F.count_if(broken).alias("malformed")]
+        sized = sized_for_write(rows.withColumns(folders), tuple(folders)).observe(counter, *counts)
         sized.write.mode("overwrite").partitionBy(*folders).parquet(path)
-        return counter.get["rows"]
+        return counter.get["rows"], counter.get["malformed"]
+
+    def _bronze_rows(self, path: str) -> DataFrame:
+        return read_path(self.spark, path, _BRONZE_STORED).where(~F.col(_MALFORMED)).select(*_BRONZE.names)
+
+    def malformed_lines(self) -> DataFrame:
+        """The text of malformed lines of all loads, with where it came from."""
+        path = f"{self.root}/bronze/sales"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], _BRONZE_STORED).drop(_MALFORMED, _PERIOD)
+        return read_path(self.spark, path, _BRONZE_STORED).where(_MALFORMED).drop(_MALFORMED, _PERIOD)
 
     def bronze(self) -> DataFrame:
         """All loads, with the period of sale, by which a filter chooses among the folders."""
         path = f"{self.root}/bronze/sales"
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], _BRONZE)
-        return read_path(self.spark, path, _BRONZE).select(*_BRONZE.names)
+        return self._bronze_rows(path)
 
     def bronze_load(self, load_id: str) -> DataFrame:
-        path = f"{self.root}/bronze/sales/load={load_id}"
-        return read_path(self.spark, path, _BRONZE).select(*_BRONZE.names)
+        return self._bronze_rows(f"{self.root}/bronze/sales/load={load_id}")
 
     # Silver -------------------------------------------------------------------------
 
@@ -179,7 +212,10 @@ class RetailLakehouse:
         return align_to(self.sales.read(version), SILVER_SALES.names)
 
     def rejected(self) -> DataFrame:
-        return align_to(self.quarantine.read(), [*SILVER_SALES.names, REASONS])
+        """Rejected sales with reasons, and malformed lines with their text in ``raw_line``."""
+        refused = align_to(self.quarantine.read(), [*SILVER_SALES.names, REASONS]).withColumn(RAW_LINE, F.lit(None).cast("string"))
+        lines = self.malformed_lines().withColumn(REASONS, F.array(F.lit(MALFORMED_LINE)))
+        return refused.unionByName(lines.select(*refused.columns))
 
     # Gold ---------------------------------------------------------------------------
 
@@ -188,11 +224,49 @@ class RetailLakehouse:
 
         The partial sums are written as tables of their own and rolled up from there.
         """
-        sales, products, stores = self.silver(), self.products(), self.stores()
+        sales = self.silver()
         overwrite_path(gold.by_store_and_day(sales), self._gold("partial_store_day"))
         overwrite_path(gold.by_product(sales), self._gold("partial_product"))
         store_days = self.spark.read.parquet(self._gold("partial_store_day"))
         product_sums = self.spark.read.parquet(self._gold("partial_product"))
+        self._write_gold(store_days, product_sums)
+
+    def refresh_gold(self) -> None:
+        """Bring the gold tables up to date from what changed in silver since they were last refreshed.
+
+        Only the folders that the silver versions do not share are read, and for a product that lost its lowest or highest price the
+        product's sales.  Sums are kept on two sides in turn: one that is half written is not used.  The first call reads all.
+        """
+        now, (before, side) = self.sales.latest_version(), self._applied()
+        if now == before:
+            return
+        gone, new = self.sales.changed_rows(before, now)
+        states = _states()
+        other = "b" if side == "a" else "a"
+        for name, (keys, measures) in states.items():
+            if before is None:
+                state = summary(new, keys, measures)
+            else:
+                old = self.spark.read.parquet(self._gold(f"state/{side}/{name}"))
+                state = refreshed(old, gone, new, self.sales.read(now), keys, measures)
+            overwrite_path(state, self._gold(f"state/{other}/{name}"))
+        store_days, product_sums = (
+            plain_sums(self.spark.read.parquet(self._gold(f"state/{other}/{name}")), measures) for name, (_, measures) in states.items())
+        self._write_gold(store_days, product_sums)
+        prices = product_sums.select("product_id", F.col("least_price").alias("least_unit_price"), F.col("most_price").alias("most_unit_price"))
+        overwrite_path_keeping_columns(prices, self._gold("product_prices"))
+        # Written last: until then a next call starts from the side before.
+        overwrite_path(self.spark.range(1).select(F.lit(now).cast("long").alias("version"), F.lit(other).alias("side")), self._gold("applied"))
+
+    def _applied(self) -> tuple[int | None, str | None]:
+        """The silver version that gold was last refreshed to, and the side that holds its sums."""
+        if not path_exists(self.spark, self._gold("applied")):
+            return None, None
+        row = self.spark.read.schema("version long, side string").parquet(self._gold("applied")).first()
+        return (row["version"], row["side"]) if row else (None, None)
+
+    def _write_gold(self, store_days: DataFrame, product_sums: DataFrame) -> None:
+        products, stores = self.products(), self.stores()
         results = {
             "daily_sales": gold.daily(store_days),
             "monthly_sales": gold.monthly(store_days),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymill.functions.columns import first_of_month
-from tallymill.operators import aggregate, clean, dedup, describe as stats, joins, timeintel
+from tallymill.operators import aggregate, clean, dedup, describe as stats, joins, ranking, timeintel
 from tallymill.queries.registry import CALIBRATED, RUN_LOG, SALES, TOTAL, TRIPS, query
 from tallymill.plans import runlog, taxi
 from tallymill.session import scratch_path
@@ -116,6 +116,14 @@ def sum_by_key(spark, sf_dir):
     return aggregate.sum_by_key(star.load(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice", "revenue")
 
 
+@query("""SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) AS revenue
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority ORDER BY o_orderpriority""")
+def sums_in_key_order(spark, sf_dir):
+    """Grouped sums as they are shown, in the order of their keys."""
+    sums = aggregate.sum_by_key(star.load(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice", "revenue")
+    return ranking.in_key_order(sums, "o_orderpriority")
+
+
 @query("""SELECT CAST(sum(CAST(l_quantity AS DECIMAL(38,4))) AS DOUBLE) / count(l_quantity) AS avg_quantity
 FROM lineitem""")
 def avg_basket(spark, sf_dir):
@@ -211,6 +219,15 @@ def sorted_rows(spark, sf_dir):
     return star.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy("o_totalprice", "o_orderkey")
 
 
+@query("""SELECT o_orderkey, o_orderpriority, o_totalprice,
+row_number() OVER (ORDER BY o_orderpriority NULLS FIRST, o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS row_number,
+rank() OVER (ORDER BY o_orderpriority NULLS FIRST) AS rank FROM orders""")
+def ranked_rows(spark, sf_dir):
+    """All orders numbered by priority and price, and ranked by priority, of which there are five."""
+    orders = star.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return ranking.with_ranks(orders, ["o_orderpriority"], ["o_orderpriority", "o_totalprice", "o_orderkey"])
+
+
 @query("""SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
 CAST(date_trunc('week', date) AS DATE) AS week_start
 FROM (SELECT CAST(unnest(generate_series(

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymill.operators import dml
+from tallymill.operators.bucketed import BucketedTable
 from tallymill.operators.versioned import VersionedTable
 from tallymill.plans import order_book
-from tallymill.queries.registry import BOOK, LATEST, query
+from tallymill.queries.registry import BOOK, LATEST, kept, query, scratch_database
 from tallymill.session import scratch_path
 from tallymill.sinks import writers
 from tallymill.sources import star
-from tallymill.streaming import loads
+from tallymill.streaming import loads, stateful
 
 _PARTITIONS = ("country", "order_year")
+_BUCKETS = 8
 _URGENT_PAID = "country = '1-URGENT' AND status = 'PAID'"
 _SETTLED = "CASE WHEN order_timestamp >= TIMESTAMP '1999-11-02' THEN 'SETTLED' ELSE status END"
 
@@ -44,6 +46,29 @@ def versioned_upsert(spark, sf_dir):
     return table.read()
 
 
+@query(f"WITH {BOOK} SELECT * REPLACE ({_SETTLED} AS status) FROM book")
+def bucketed_upsert(spark, sf_dir):
+    """The same merge on a managed table in buckets by order: only the batch is shuffled."""
+    book = star.order_book(spark, sf_dir)
+    with scratch_database(spark) as database:
+        table = BucketedTable(spark, f"{database}.orders", ["order_id"], _BUCKETS)
+        table.create(book.where("order_timestamp < TIMESTAMP_NTZ '2000-01-01'"))
+        table.upsert(book.where("order_timestamp >= TIMESTAMP_NTZ '1999-11-02'").withColumn("status", F.lit("SETTLED")))
+        return kept(table.read())
+
+
+@query(f"""WITH {BOOK} SELECT * REPLACE (CASE WHEN order_year IN (1998, 1999) THEN status ELSE 'OLD' END AS status) FROM book""")
+def partition_reload(spark, sf_dir):
+    """Two years of a partitioned table loaded again, twice; the other years keep their files."""
+    book = star.order_book(spark, sf_dir)
+    with scratch_database(spark) as database:
+        name = f"{database}.orders"
+        writers.overwrite_table(book.withColumn("status", F.lit("OLD")), name, ("order_year",))
+        for _ in range(2):
+            writers.overwrite_table_partitions(book.where("order_year IN (1998, 1999)"), name)
+        return kept(spark.table(name).select(*book.columns))
+
+
 @query(f"""WITH {BOOK} SELECT * REPLACE (
 CASE WHEN {_URGENT_PAID} THEN 'CANCELLED' ELSE status END AS status) FROM book""")
 def conditional_update(spark, sf_dir):
@@ -189,6 +214,19 @@ def stream_silver(spark, sf_dir):
     return table.read().select(*sales.columns)
 
 
+@query("""SELECT event_id, ts, user_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1""")
+def stream_latest_stateful(spark, sf_dir):
+    """The latest event of each user, from a stream of files in no order whose state holds what is known."""
+    events = star.load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    raw, out, checkpoint = (scratch_path(spark, f"state-{name}") for name in ("in", "out", "checkpoint"))
+    writers.write_csv(events.repartition(4, "event_id"), raw)
+    stream = loads.stream_csv(spark, raw, events.schema, files_per_batch=2)
+    stateful.stream_latest_stateful(stream, out, checkpoint, ["user_id"], ["ts", "event_id"], "ts", "60 days")
+    latest = stateful.read_latest(spark, out, events.schema, ["user_id"], ["ts", "event_id"])
+    return latest.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query("SELECT * FROM orders")
 def stream_new_files(spark, sf_dir):
     """Two runs over the same folder: the second one finds nothing new."""

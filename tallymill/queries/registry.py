@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymill.session import scratch_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -21,6 +25,25 @@ def query(sql: str) -> Callable[[Query], Query]:
     return add
 
 
+@contextmanager
+def scratch_database(spark: SparkSession) -> Iterator[str]:
+    """A database below the scratch folder, dropped with its tables at the end (see :func:`kept`)."""
+    name, before = f"tallymill_{uuid.uuid4().hex[:12]}", spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'database')}'")
+    try:
+        yield name
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Rows written to the scratch folder, so that they outlast the database they came from."""
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Views the oracles build on, as SQL text ---------------------------------------------
 
 SALES = """

@@ -2,52 +2,104 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallymill.operators import dedup
 from tallymill.plans import lab, taxi
 from tallymill.plans.medallion import RetailLakehouse
 from tallymill.plans.runlog import RunLog
-from tallymill.queries.registry import PRODUCTS, STORES, query
-from tallymill.schemas import LAB_SALES, PRODUCTS as PRODUCTS_FILE, RAW_SALES, STORES as STORES_FILE, TAXI_TRIPS
+from tallymill.queries.registry import PRODUCTS, STORES, kept, query, scratch_database
+from tallymill.schemas import LAB_SALES, PRODUCTS as PRODUCTS_FILE, RAW_SALES, STORES as STORES_FILE, TAXI_TRIPS, table
 from tallymill.session import scratch_path
 from tallymill.sinks import writers
 from tallymill.sources import readers, star
 
 
-def _database(spark) -> str:
-    name = f"tallymill_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {name}")
-    return name
-
-
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def managed_table_rows(spark, sf_dir):
     """Half of the events overwrite a managed table and the rest are appended."""
     events = star.load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    name = f"{_database(spark)}.events"
-    writers.overwrite_table(events, name)
-    writers.overwrite_table(events.where("event_id % 2 = 0"), name)
-    writers.append_table(events.where("event_id % 2 = 1"), name)
-    return readers.read_table(spark, name)
+    with scratch_database(spark) as database:
+        name = f"{database}.events"
+        writers.overwrite_table(events, name)
+        writers.overwrite_table(events.where("event_id % 2 = 0"), name)
+        writers.append_table(events.where("event_id % 2 = 1"), name)
+        return kept(readers.read_table(spark, name))
 
 
 @query("SELECT DISTINCT 'event_type=' || event_type AS partition FROM events")
 def table_partitions(spark, sf_dir):
-    name = f"{_database(spark)}.events"
-    writers.overwrite_table(star.load(spark, sf_dir, "events").select("event_id", "event_type"), name, ("event_type",))
-    return spark.sql(f"SHOW PARTITIONS {name}")
+    with scratch_database(spark) as database:
+        name = f"{database}.events"
+        writers.overwrite_table(star.load(spark, sf_dir, "events").select("event_id", "event_type"), name, ("event_type",))
+        return kept(writers.table_partitions(spark, name))
 
 
 @query("""SELECT event_type, count(*) AS n, CAST(NULL AS DOUBLE) AS top_value FROM events GROUP BY event_type""")
 def gold_keeps_columns(spark, sf_dir):
     """A second result without a column of the first: the column stays, filled with null."""
-    events, name = star.load(spark, sf_dir, "events"), f"{_database(spark)}.gold"
-    writers.overwrite_table(events.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("top_value")), name)
-    writers.overwrite_keeping_columns(events.groupBy("event_type").agg(F.count("*").alias("n")), name)
-    return readers.read_table(spark, name)
+    events = star.load(spark, sf_dir, "events")
+    with scratch_database(spark) as database:
+        name = f"{database}.gold"
+        writers.overwrite_table(events.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("top_value")), name)
+        writers.overwrite_keeping_columns(events.groupBy("event_type").agg(F.count("*").alias("n")), name)
+        return kept(readers.read_table(spark, name))
+
+
+@query("""SELECT 'tables' AS step, 'clicks,views' AS found
+UNION ALL SELECT 'columns', 'event_id bigint,event_type string,value double'
+UNION ALL SELECT 'shape', count(*) || ' x 3' FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'tables after a drop', 'clicks'""")
+def catalog_life_cycle(spark, sf_dir):
+    """Two tables made, listed and described, and one dropped."""
+    events = star.load(spark, sf_dir, "events").select("event_id", "event_type", "value")
+
+    def listed() -> DataFrame:
+        names = writers.tables(spark).where(F.col("namespace") == database)
+        return names.agg(F.array_join(F.array_sort(F.collect_list("tableName")), ",").alias("found"))  # two names
+    with scratch_database(spark) as database:
+        writers.use_database(spark, database)
+        for name, kind in (("clicks", "click"), ("views", "view")):
+            writers.overwrite_table(events.where(F.col("event_type") == kind), name)
+        # The description begins with the columns and goes on after an empty line.
+        columns = writers.table_detail(spark, "views").where(F.col("col_name").isin(*events.columns) & F.col("data_type").isin("bigint", "string", "double"))
+        described = columns.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "col_name", "data_type"))), ",").alias("found"))
+        n_rows, n_columns = writers.shape(spark.table("views"))
+        steps = {"tables": listed(), "columns": described, "shape": spark.range(1).select(F.lit(f"{n_rows} x {n_columns}").alias("found"))}
+        found = [kept(df.select(F.lit(step).alias("step"), "found")) for step, df in steps.items()]
+        writers.drop_table(spark, "views")
+        found.append(kept(listed().select(F.lit("tables after a drop").alias("step"), "found")))
+    return reduce(DataFrame.unionAll, found)
+
+
+_LINES = """lines AS (
+  SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderstatus, o_orderkey % 10 AS kind,
+         o_orderkey || ',' || strftime(o_orderdate, '%Y-%m-%d') AS head
+  FROM orders)"""
+
+
+@query(f"""WITH {_LINES}
+SELECT o_orderkey, cents, o_orderstatus, CAST(NULL AS VARCHAR) AS raw_line FROM lines WHERE kind NOT IN (3, 6, 9)
+UNION ALL SELECT NULL, NULL, NULL, CASE kind WHEN 3 THEN head WHEN 6 THEN head || ',' || cents || ',' || o_orderstatus || ',surplus'
+  ELSE head || ',n/a,' || o_orderstatus END FROM lines WHERE kind IN (3, 6, 9)""")
+def csv_rejects(spark, sf_dir):
+    """Orders as CSV lines, of which some are short, long or ill-typed: rows, and the text of the others."""
+    orders = star.load(spark, sf_dir, "orders")
+    cents, kind = F.round(F.col("o_totalprice") * 100).cast("long"), F.col("o_orderkey") % 10
+    head = F.concat_ws(",", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    line = (
+        F.when(kind == 3, head).when(kind == 6, F.concat_ws(",", head, cents, "o_orderstatus", F.lit("surplus")))
+        .when(kind == 9, F.concat_ws(",", head, F.lit("n/a"), "o_orderstatus")).otherwise(F.concat_ws(",", head, cents, "o_orderstatus"))
+    )
+    path, schema = scratch_path(spark, "lines"), table("o_orderkey long, o_orderdate date, cents long, o_orderstatus string")
+    # One column whose name is the header; a separator that no line has leaves the lines as they are.
+    orders.select(line.alias(",".join(schema.names))).write.option("header", True).option("sep", "\u0001").csv(path)
+    checked = readers.read_csv_checked(spark, path, schema)
+    # What could be read of a malformed line is not shown.
+    fields = [F.when(F.col(readers.RAW_LINE).isNull(), F.col(c)).alias(c) for c in ("o_orderkey", "cents", "o_orderstatus")]
+    return checked.select(*fields, readers.RAW_LINE)
 
 
 # Distances are shifted so that some trips fail the quality rule.
@@ -57,8 +109,8 @@ _TRIPS = """trips AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
-def _taxi(spark, sf_dir) -> str:
-    """Run the taxi pipeline on trips written as CSV; the database's name."""
+def _taxi(spark, sf_dir, table_name: str, *columns: str) -> DataFrame:
+    """Run the taxi pipeline on trips written as CSV; one of its tables."""
     lines, orders = star.load(spark, sf_dir, "lineitem"), star.load(spark, sf_dir, "orders")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     trips = joined.select(
@@ -67,13 +119,11 @@ def _taxi(spark, sf_dir) -> str:
         F.lit(1).alias("passenger_count"), (F.col("l_quantity") - 10).alias("trip_distance"),
         F.col("l_extendedprice").alias("fare_amount"), (F.col("l_extendedprice") + 1).alias("total_amount"), F.lit("CARD").alias("payment_type"),
     ).select(*TAXI_TRIPS.names)
-    path, database, before = scratch_path(spark, "taxi"), f"tallymill_{uuid.uuid4().hex[:12]}", spark.catalog.currentDatabase()
+    path = scratch_path(spark, "taxi")
     writers.write_csv(trips, path)
-    try:
+    with scratch_database(spark) as database:
         taxi.run(spark, path, database)
-    finally:
-        spark.catalog.setCurrentDatabase(before)
-    return database
+        return kept(readers.read_table(spark, table_name).select(*columns or "*"))
 
 
 @query(f"""WITH {_TRIPS} SELECT CAST(date_trunc('week', pickup_datetime) AS DATE) AS week_start, count(*) AS total_trips,
@@ -82,14 +132,14 @@ CAST(sum(CAST(fare_amount AS DECIMAL(38,4))) AS DOUBLE) / count(fare_amount) AS
 CAST(sum(CAST(trip_distance AS DECIMAL(38,4))) AS DOUBLE) / count(trip_distance) AS avg_trip_distance
 FROM trips WHERE trip_distance > 0 GROUP BY 1""")
 def taxi_weekly_stored(spark, sf_dir):
-    return readers.read_table(spark, f"{_taxi(spark, sf_dir)}.{taxi.TAXI_WEEKLY}")
+    return _taxi(spark, sf_dir, taxi.TAXI_WEEKLY)
 
 
 @query(f"""WITH {_TRIPS}, clean AS (SELECT * FROM trips WHERE trip_distance > 0)
 SELECT trip_id, fare_amount, CAST(row_number() OVER (ORDER BY fare_amount DESC, trip_id) AS INTEGER) AS rank
 FROM clean ORDER BY rank LIMIT 3""")
 def taxi_top_stored(spark, sf_dir):
-    return readers.read_table(spark, f"{_taxi(spark, sf_dir)}.{taxi.TAXI_TOP}").select("trip_id", "fare_amount", "rank")
+    return _taxi(spark, sf_dir, taxi.TAXI_TOP, "trip_id", "fare_amount", "rank")
 
 
 @query("""SELECT o_orderkey AS transaction_id, CAST(epoch_ms(CAST(o_orderdate AS DATE)::TIMESTAMP) AS BIGINT) AS date, o_totalprice AS total,
@@ -160,9 +210,9 @@ refused AS (
   QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY step DESC) = 1)"""
 
 
-def _replayed(spark, sf_dir) -> RetailLakehouse:
-    """Load, refresh, three times; the last refresh is run twice and must change nothing."""
-    house = RetailLakehouse(spark, scratch_path(spark, "replay"), lookback=f"{_LOOK_BACK_DAYS} days", period="month")
+def _replayed(spark, sf_dir, gold: bool = False) -> RetailLakehouse:
+    """Load, refresh, three times; the last refresh is run twice and must change nothing.  ``gold`` is refreshed each time."""
+    house = RetailLakehouse(spark, scratch_path(spark, "replay"), lookback=f"{_LOOK_BACK_DAYS} days", period="year")
     house.create()
     products = star.products(spark, sf_dir).where("size <= 40").select(*PRODUCTS_FILE.names)
     stores = star.stores(spark, sf_dir).where("balance > 0").select(*STORES_FILE.names)
@@ -185,7 +235,11 @@ def _replayed(spark, sf_dir) -> RetailLakehouse:
         writers.write_csv(named.select(*RAW_SALES.names), path)
         house.ingest(path)
         house.refresh_silver()
+        if gold:
+            house.refresh_gold()
     house.refresh_silver()
+    if gold:
+        house.refresh_gold()
     return house
 
 
@@ -205,3 +259,20 @@ def incremental_replay_rejected(spark, sf_dir):
     """The quarantine after three loads, with reasons."""
     refused = _replayed(spark, sf_dir).rejected()
     return refused.select("transaction_id", "store_id", "quantity", F.array_join("reject_reasons", ",").alias("reasons"))
+
+
+@query(f"""{_REPLAY}, priced AS (SELECT *, round(quantity * unit_price - discount, 2) AS total_amount FROM silver3),
+summed AS (
+  SELECT l_partkey, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+         CAST(round(sum(CAST(total_amount AS DECIMAL(38,4))), 2) AS DOUBLE) AS total_revenue,
+         CAST(sum(CAST(round(unit_price * 100) AS HUGEINT)) AS HUGEINT) AS cents, CAST(count(unit_price) AS HUGEINT) AS n,
+         min(unit_price) AS least_unit_price, max(unit_price) AS most_unit_price
+  FROM priced GROUP BY l_partkey)
+SELECT CAST(l_partkey AS VARCHAR) AS product_id, category, brand, total_quantity, total_revenue,
+       CAST((2 * cents + n) // (2 * n) AS DOUBLE) / 100 AS avg_unit_price, least_unit_price, most_unit_price
+FROM summed JOIN products ON l_partkey = product_id""")
+def gold_from_changes(spark, sf_dir):
+    """Product gold after three loads, brought up to date from each load's changes."""
+    house = _replayed(spark, sf_dir, gold=True)
+    columns = ["product_id", "category", "brand", "total_quantity", "total_revenue", "avg_unit_price"]
+    return house.gold("product_performance").select(*columns).join(house.gold("product_prices"), "product_id")

@@ -11,7 +11,9 @@ from tallymill.sources.readers import empty_table, path_exists, read_path
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header line; timestamps keep their microseconds."""
+    formats = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    df.write.mode("overwrite").options(header=True, **formats).csv(path)
 
 
 def write_json_records(df: DataFrame, path: str) -> None:
@@ -46,6 +48,34 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Replace the partitions that ``df`` has rows of, and leave the others' files alone.
+
+    So loading some days again, once or twice, gives what loading them once gives.  A partition all of whose rows are
+    gone from the source is not in ``df`` and stays.  ``df`` must not read from ``path``.
+    """
+    writer = sized_for_write(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
+def overwrite_table_partitions(df: DataFrame, name: str) -> None:
+    """The same for a managed table with partitions; columns are matched by name.
+
+    Inserts take the mode from the session, so it is set for the time of the call.
+    """
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    partition_by = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    if not partition_by:
+        raise ValueError(f"{name} has no partitions")
+    sized = sized_for_write(df.select(*spark.table(name).columns), partition_by)
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        sized.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def overwrite_keeping_columns(df: DataFrame, name: str) -> None:
     """Overwrite that may add columns but never drops one: lost columns are filled with null."""
     spark = df.sparkSession

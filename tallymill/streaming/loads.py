@@ -14,24 +14,30 @@ from tallymill.operators.dml import matched
 from tallymill.operators.versioned import VersionedTable
 from tallymill.plans.medallion import RetailLakehouse
 from tallymill.schemas import RAW_SALES
-from tallymill.sources.readers import with_load_metadata
+from tallymill.sources.readers import checked_lines, checked_options, with_load_metadata
 
 
-def stream_csv(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("header", True)
+def stream_csv(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None,
+               checked: bool = False) -> DataFrame:
+    """New CSV files; ``checked`` adds the text of malformed lines (see :func:`read_csv_checked`)."""
+    options = {"header": "true"}
+    if checked:
+        schema, options = checked_options(schema)
+    reader = spark.readStream.schema(schema).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(path)
+    return checked_lines(reader.csv(path)) if checked else reader.csv(path)
 
 
-def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
+                  output_mode: str = "append") -> StreamingQuery:
     """Process all files there are now, batch by batch, and stop.
 
     The checkpoint remembers the files done.  A batch that failed half way is handed over
     again with the same number, so ``handle`` must be repeatable.
     """
     query = (
-        stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(handle).outputMode(output_mode).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -82,11 +88,11 @@ def stream_medallion(house: RetailLakehouse, raw_dir: str, checkpoint: str, file
     def handle(batch: DataFrame, number: int) -> None:
         load_id = f"stream-{_query_id(house.spark, checkpoint)}-{number}"
         with house.log.run(BRONZE_PIPELINE, BRONZE_LAYER) as run:
-            run.processed = house.write_bronze(batch, load_id)
+            run.processed, run.rejected = house.write_bronze(batch, load_id)
         if recheck:
             house.refresh_silver()
         else:
             house.refresh_silver(house.bronze_load(load_id), bound)
 
-    sales = with_load_metadata(stream_csv(house.spark, raw_dir, RAW_SALES, files_per_batch), SOURCE_SYSTEM)
+    sales = with_load_metadata(stream_csv(house.spark, raw_dir, RAW_SALES, files_per_batch, checked=True), SOURCE_SYSTEM)
     return run_available(sales, checkpoint, handle)
