@@ -2,11 +2,17 @@
 
 Trees are fitted on a bounded sample: a node splits its part of the sample at the median of a projection on
 the difference of two random members.  Every vector is then sent to its leaf in each tree.  A query visits
-leaves of all trees through one shared priority queue, the ones first that lie least far beyond the hyperplanes
-that part them from the query.  The visited leaves' members are ranked by their exact distance.
+leaves of all trees through one shared priority queue, the ones first whose hyperplanes lie least far (by the sum of squares)
+between them and the query.  The visited leaves' members are ranked by their exact distance.
 
-Equal vectors are one point, so a vector that is very frequent is looked at once.  Leaves are cut into
-blocks of bounded size, which a query visits each.
+How many comparisons a query gets is learned from the sample: the fewest that find ``TARGET`` of the true neighbours
+of some of its points, at its whole size and at a quarter of it.  Where the share of points falls from the smaller to the larger, as in data with
+clusters, it is taken to fall on at nearly the same rate; where it does not, as in evenly spread vectors of many dimensions,
+no index can leave out much.  A leaf that has more members than its share of the comparisons is split on
+within the task, by a tree fitted on the members there, and the query visits its nearest parts only.
+
+Equal vectors are one point, so a vector that is very frequent is looked at once.  Leaves with very many members or
+queries are cut into blocks of bounded size on both sides.
 """
 
 from __future__ import annotations
@@ -26,12 +32,13 @@ from tallymill.llm.common import named, stored
 SAMPLE = 16_384
 TREES = 12
 # Members a leaf is to have, and the fewest of the sample in one.
-LEAF = 128
+LEAF = 24
 LEAST_LEAF = 6
-# Leaves that a query visits, of all trees together, for each level of the trees.
-VISITS_PER_LEVEL = 30
-# Members of a leaf that one task compares at once, on average.
-BLOCK = 20_000
+# Share of the true neighbours of the sample's points that is to be found, of how many points it is measured, how much
+# more than was needed there is spent, and how much of the fall from a quarter of the sample to the whole is trusted beyond it.
+TARGET, MEASURED, MARGIN, TRUSTED = 0.95, 48, 1.2, 0.9
+# Members, and queries, of a leaf that one task compares at most.
+BLOCK, QUERY_BLOCK = 20_000, 2_000
 SEED = 7
 
 
@@ -78,31 +85,119 @@ class Forest:
             found[:, tree] = node - len(normals)
         return found
 
-    def visits(self, query: np.ndarray, most: int) -> list[tuple[int, int]]:
-        """(tree, leaf) of the leaves nearest to the query, nearest first."""
-        margins = self.normals @ query.astype(np.float32) - self.offsets
-        first = margins.shape[1]
+    def visits(self, query: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(tree, leaf) of all leaves, nearest to the query first."""
+        margins = (self.normals @ query.astype(np.float32) - self.offsets).tolist()
+        first = len(margins[0])
         queue = [(0.0, tree, 0) for tree in range(len(margins))]
-        found: list[tuple[int, int]] = []
-        while queue and len(found) < most:
+        while queue:
             beyond, tree, node = heapq.heappop(queue)
             while node < first:
-                margin = float(margins[tree, node])
+                margin = margins[tree][node]
                 near, far = (2 * node + 2, 2 * node + 1) if margin >= 0 else (2 * node + 1, 2 * node + 2)
-                heapq.heappush(queue, (max(beyond, abs(margin)), tree, far))
+                heapq.heappush(queue, (beyond + margin * margin, tree, far))
                 node = near
-            found.append((tree, node - first))
-        return found
+            yield tree, node - first
+
+
+def _depth(n: int, sample: int) -> int:
+    return max(0, int(np.log2(max(1.0, min(n / LEAF, sample / LEAST_LEAF)))))
+
+
+def _members(leaves: np.ndarray, depth: int) -> list[list[np.ndarray]]:
+    """For each tree the members of each leaf, from each point's leaves."""
+    out = []
+    for own in leaves.T:
+        order = np.argsort(own, kind="stable")
+        out.append(np.split(order, np.searchsorted(own[order], np.arange(1, 2**depth))))
+    return out
+
+
+def needed_share(points: np.ndarray, k: int, trees: int = TREES) -> float:
+    """Comparisons for each point, as a share of all points, by which ``TARGET`` of the ``k`` nearest of some points are found."""
+    n = len(points)
+    if n <= k + 1:
+        return 1.0
+    forest = Forest.fit(points, _depth(n, n * LEAST_LEAF), trees)
+    members = _members(forest.leaves(points), forest.depth)
+    chosen = np.random.default_rng(SEED).choice(n, min(n, MEASURED), replace=False)
+    costs = []
+    for q in chosen:
+        away = ((points - points[q]) ** 2).sum(axis=1)
+        away[q] = np.inf
+        wanted = set(np.argpartition(away, k - 1)[:k].tolist())
+        compared = 0
+        for tree, leaf in forest.visits(points[q]):
+            own = members[tree][leaf]
+            compared += len(own)
+            found = wanted.intersection(own.tolist())
+            costs += [compared] * len(found)
+            wanted -= found
+            if not wanted:
+                break
+    return float(np.quantile(costs, TARGET, method="higher")) / n
+
+
+@dataclass(frozen=True)
+class Search:
+    """A forest, the leaves that a query visits, and the part of a leaf's members that it is compared with."""
+
+    forest: Forest
+    visits: int
+    part: float
+
+    @classmethod
+    def plan(cls, sample: np.ndarray, n: int, k: int, trees: int = TREES, visits: int | None = None) -> "Search":
+        """For ``n`` points of which ``sample`` are some, in any order."""
+        depth = _depth(n, len(sample))
+        forest = Forest.fit(sample, depth, trees)
+        if visits is not None:
+            return cls(forest, visits, 1.0)
+        share = needed_share(sample, k, trees)
+        if n > len(sample):
+            before = needed_share(sample[: len(sample) // 4], k, trees)
+            falls = TRUSTED * min(1.0, max(0.0, np.log(before / share) / np.log(4)))
+            share *= (len(sample) / n) ** falls
+        wanted = MARGIN * share * 2**depth  # in leaves, of which each tree has so many
+        visits = max(trees, int(np.ceil(wanted)))
+        return cls(forest, min(visits, trees * 2**depth), min(1.0, wanted / visits))
+
+    def visited(self, query: np.ndarray) -> list[tuple[int, int]]:
+        return [way for way, _ in zip(self.forest.visits(query), range(self.visits))]
+
+    def rows(self, held: np.ndarray) -> "Rows":
+        return Rows(held, self.part)
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, dims)
+class Rows:
+    """The members of a leaf in a task, split on if a query is to be compared with a part of them only."""
 
+    def __init__(self, held: np.ndarray, part: float) -> None:
+        self.held, self.forest = held, None
+        depth = _depth(len(held), len(held) * LEAST_LEAF)
+        # At least two leaves' worth is looked at.
+        self.most = int(np.ceil(part * 2**depth)) + 1
+        if self.most < 2**depth:
+            self.forest = Forest.fit(held, depth, 1)
+            self.members = _members(self.forest.leaves(held), depth)[0]
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = [np.array(v, "<f8").tobytes() for v in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary()), batch.column(2)], names=["p", "v", "first"])
+    def near(self, query: np.ndarray) -> np.ndarray:
+        """Numbers of the members that the query is compared with."""
+        if self.forest is None:
+            return np.arange(len(self.held))
+        return np.concatenate([self.members[leaf] for (_, leaf), _ in zip(self.forest.visits(query), range(self.most))])
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, kind: str, dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dims).astype(np.float64)
+
+
+def _packer(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.array(v, kind).tobytes() for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary()), batch.column(2)], names=["p", "v", "first"])
+    return run
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -129,6 +224,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col="vec_id", v
     """
     spark = rows.sparkSession
     taken, asked = usable(rows, id_col, vector_col), usable(queries, id_col, vector_col).distinct()
+    # Floats are moved as such; distances are doubles of the same numbers.
+    kind = "<f4" if rows.select(named(vector_col)).dtypes[0][1] == "array<float>" else "<f8"
     # k + 1 ids of equal vectors are enough: one of them may be the query's own.
     ranked = taken.withColumn("place", F.dense_rank().over(Window.partitionBy("vector").orderBy("vec_id"))).where(F.col("place") <= k + 1)
     points = stored(ranked.groupBy("vector").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")).withColumn("p", F.monotonically_increasing_id()), "points")
@@ -137,50 +234,54 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col="vec_id", v
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims = dims[0][0]
-    sample = points.orderBy(F.xxhash64("vector"), "p").select("vector").limit(SAMPLE).collect()
-    sample = np.array([r["vector"] for r in sample])
-    depth = max(0, int(np.log2(max(1.0, min(n / LEAF, len(sample) / LEAST_LEAF)))))
-    visits = visits or VISITS_PER_LEVEL * max(1, depth)
+    packed = points.select("p", "vector", F.element_at("ids", 1).alias("first")).mapInArrow(_packer(kind), "p long, v binary, first long")
+    sample = packed.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toArrow().column(0)
     # Its size is bounded by the sample: trees * sample / LEAST_LEAF hyperplanes.
-    forest = spark.sparkContext.broadcast(Forest.fit(sample, depth, trees))
-    blocks = max(1, round(n / (2**depth * BLOCK)))
-    packed = points.select("p", "vector", F.element_at("ids", 1).alias("first")).mapInArrow(_packed, "p long, v binary, first long")
+    search = spark.sparkContext.broadcast(Search.plan(_matrix(sample, kind, dims), n, k, trees, visits))
+    by_query = stored(_points_of(asked, points), "asked")
+    starts = by_query.groupBy("q").agg(F.first("vector").alias("vector")).select("q", "vector", F.col("q").alias("first")).mapInArrow(_packer(kind), "p long, v binary, first long")
+
+    def ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for q, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = search.value.visited(np.frombuffer(v, kind))
+                columns = [pa.array([w[i] for w in found], pa.int32()) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([q] * len(found), pa.int64()), pa.array([v] * len(found), pa.binary())], names=["tree", "leaf", "q", "qv"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaves = forest.value.leaves(_matrix(batch.column(1), dims))
+                leaves = search.value.forest.leaves(_matrix(batch.column(1), kind, dims))
                 for tree in range(leaves.shape[1]):
-                    block = pa.array(np.array(batch.column(0)) % blocks, pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, tree), pa.int32()), pa.array(leaves[:, tree], pa.int32()), block, *batch.columns], names=["tree", "leaf", "block", "p", "v", "first"])
-
-    def ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for q, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = forest.value.visits(np.frombuffer(v, "<f8"), visits)
-                wanted = [(t, leaf, b) for t, leaf in found for b in range(blocks)]
-                columns = [pa.array([w[i] for w in wanted], pa.int32()) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([q] * len(wanted), pa.int64()), pa.array([v] * len(wanted), pa.binary())], names=["tree", "leaf", "block", "q", "qv"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, tree), pa.int32()), pa.array(leaves[:, tree], pa.int32()), *batch.columns], names=["tree", "leaf", "p", "v", "first"])
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         """Exact distances of a leaf block's members to its queries; the k + 1 nearest points of each."""
         out: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
             asked_by, member, first = (np.array(x) for x in (left.column("q"), right.column("p"), right.column("first")))
-            wanted, held = _matrix(left.column("qv"), dims), _matrix(right.column("v"), dims)
-            for q, query in zip(asked_by, wanted):
-                away = np.sqrt(((held - query) ** 2).sum(axis=1))
-                best = np.lexsort((first, away))[:k + 1]
-                out.append((np.full(len(best), q), member[best], away[best]))
+            held = search.value.rows(_matrix(right.column("v"), kind, dims))
+            for q, query in zip(asked_by, _matrix(left.column("qv"), kind, dims)):
+                near = held.near(query)
+                away = np.sqrt(((held.held[near] - query) ** 2).sum(axis=1))
+                best = np.lexsort((first[near], away))[:k + 1]
+                out.append((np.full(len(best), q), member[near[best]], away[best]))
         columns = [np.concatenate([x[i] for x in out]) if out else np.zeros(0) for i in range(3)]
         return pa.table({"q": pa.array(columns[0], pa.int64()), "p": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 
-    by_query = stored(_points_of(asked, points), "asked")
-    starts = by_query.groupBy("q").agg(F.first("vector").alias("vector")).select("q", "vector", F.col("q").alias("first")).mapInArrow(_packed, "p long, v binary, first long")
-    keys = ["tree", "leaf", "block"]
-    visited = starts.mapInArrow(ways, "tree int, leaf int, block int, q long, qv binary")
-    index = packed.mapInArrow(places, "tree int, leaf int, block int, p long, v binary, first long")
-    found = visited.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(compare, "q long, p long, score double")
+    keys = ["tree", "leaf", "block", "query_block"]
+    visited = starts.mapInArrow(ways, "tree int, leaf int, q long, qv binary")
+    index = packed.mapInArrow(places, "tree int, leaf int, p long, v binary, first long")
+    # Leaves are as many as the sample allows, so this has a bounded size; most need one block on either side.
+    crowds = index.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    askers = visited.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("query_blocks"))
+    cuts = F.broadcast(stored(crowds.join(askers, ["tree", "leaf"]), "cuts"))
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    dealt_queries = visited.join(cuts, ["tree", "leaf"]).withColumn("query_block", F.pmod(F.xxhash64("q"), "query_blocks")).withColumn("block", every("blocks"))
+    dealt_index = index.join(cuts, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("p"), "blocks")).withColumn("query_block", every("query_blocks"))
+    found = dealt_queries.select(*keys, "q", "qv").groupBy(*keys).cogroup(dealt_index.select(*keys, "p", "v", "first").groupBy(*keys)).applyInArrow(compare, "q long, p long, score double")
     found = found.groupBy("q", "p").agg(F.min("score").alias("score"))
     named_ids = found.join(points.select("p", "ids"), "p").withColumn("first", F.element_at("ids", 1))
     near = named_ids.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("score", "first"))).where(F.col("place") <= k + 1)

@@ -50,6 +50,51 @@ def test_recall_of_the_test_table(spark, sf_dir):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def clustered(n, seed=0, centres=500, spread=0.35):
+    rand = np.random.default_rng(seed)
+    middle = rand.standard_normal((centres, 32))
+    return middle[rand.integers(0, centres, n)] + spread * rand.standard_normal((n, 32))
+
+
+def searched(points, queries=60, k=10):
+    """Recall, and the share of different points compared, of a planned search."""
+    rand = np.random.default_rng(5)
+    search = rp_forest.Search.plan(points[rand.permutation(len(points))[:rp_forest.SAMPLE]], len(points), k)
+    members = rp_forest._members(search.forest.leaves(points), search.forest.depth)
+    hits = compared = 0
+    for q in rand.choice(len(points), queries, replace=False):
+        away = ((points - points[q]) ** 2).sum(axis=1)
+        away[q] = np.inf
+        seen = set()
+        for tree, leaf in search.visited(points[q]):
+            own = members[tree][leaf]
+            seen.update(own[search.rows(points[own]).near(points[q])].tolist() if len(own) else ())
+        hits += len(seen.intersection(np.argpartition(away, k - 1)[:k].tolist()))
+        compared += len(seen)
+    return hits / queries / k, compared / queries / len(points)
+
+
+def test_search_of_clustered_vectors_compares_few():
+    points = clustered(50_000)
+    recall, share = searched(points)
+    assert recall >= 0.9 and share <= 0.1
+    # Comparisons grow slower than the table.
+    _, share_of_fewer = searched(points[:12_500])
+    assert share <= 0.7 * share_of_fewer
+
+
+def test_leaves_beyond_the_sample_are_split_on(monkeypatch):
+    monkeypatch.setattr(rp_forest, "SAMPLE", 2000)
+    recall, share = searched(clustered(40_000, centres=40))
+    assert recall >= 0.9 and share <= 0.1
+
+
+def test_a_test_table_is_not_wholly_visited(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    recall, share = searched(np.array([r["embedding"] for r in rows]), 40)
+    assert recall >= 0.9 and share < 0.9
+
+
 def test_few_vectors_and_none(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0], 0), (100, [1.0, 0.0], 0), (3, [2.0, 0.0], 0)], VECTORS)
     got = rp_forest.nearest(frame, frame.where("vec_id % 100 = 0"))
@@ -64,6 +109,7 @@ def test_blocks_give_the_same(spark, monkeypatch):
     rows = [(i, [rand.gauss(0, 1) for _ in range(4)]) for i in range(300)]
     frame = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
     monkeypatch.setattr(rp_forest, "BLOCK", 30)
+    monkeypatch.setattr(rp_forest, "QUERY_BLOCK", 1)
     got = rp_forest.nearest(frame, frame.where("vec_id % 100 = 0"), visits=10**6)
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got.collect()) == brute_nearest(rows, 10)
 
