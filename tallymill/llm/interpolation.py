@@ -7,7 +7,10 @@ and are learned by expectation-maximisation on the held-out documents.
 Counting at scale: documents are packed into blocks of bounded size.  A block gives the distinct n-grams that it
 needs, as sorted hashes with its own training counts, in ranges of the hash.  A task adds up one range
 over all blocks and gives each block its totals, in the block's own order.  So each distinct n-gram of a block
-moves once, and totals need no names on their way back.
+moves once, and totals need no names on their way back.  A block is cut into a bounded number of ranges; where more are
+needed, the pieces that groups of blocks have in one range are merged into pieces of a block's size, which are cut
+further and hand their totals down again.  So a block has as many pieces whatever the input's size is, once for each
+such round, of which there are as many as the logarithm of the number of ranges to the base ``MOST_RANGES``.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from tallymill.llm.shingles import mixed
 BLOCK_CHARS = 4_000_000
 # N-grams, counted once for each block, in one range of hashes on average.
 RANGE_GRAMS = 600_000
+# Ranges that a block is cut into at a time, at most, and so many blocks' pieces are merged where more are needed.
+MOST_RANGES = 1024
 # The base model's addend, and the share of documents (by crc32) that are held out.
 ADDED, HELD_ONE_IN = 0.1, 10
 LEVELS = 48
@@ -136,11 +141,30 @@ class Grams:
         return of_word, of_context, pairs[self.pair_at]
 
 
-def _ranges(keys: np.ndarray, n: int) -> list[tuple[int, int, int]]:
-    """(range, start, end) of the ascending keys in each of ``n`` equal ranges of hashes."""
-    bounds = np.array([(k << 64) // n for k in range(1, n)], np.uint64)
-    cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
-    return [(k, a, b) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+def _bounds(low: int, high: int, n: int) -> list[tuple[int, int]]:
+    """Equal ranges of hashes from ``low`` to below ``high``."""
+    cuts = [low + (k * (high - low)) // n for k in range(n + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def _cut(keys: np.ndarray, counts: np.ndarray, low: int, high: int, n: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Low, high, keys and counts of the ascending keys in each of ``n`` equal ranges that has any."""
+    ranges = _bounds(low, high, n)
+    at = [0, *np.searchsorted(keys, np.array([a for a, _ in ranges[1:]], np.uint64)).tolist(), len(keys)]
+    for (bottom, top), a, b in zip(ranges, at, at[1:]):
+        if a < b:
+            yield bottom, top, _pack_keys(keys[a:b]), _pack_counts(counts[a:b])
+
+
+# A range is named by its bounds, as texts: they are numbers of 64 bits without a sign.  ``parent`` is the range that it was cut from.
+PIECE = "kind int, parent string, low string, high string, owner long, keys binary, counts binary"
+TOTALS = "kind int, parent string, low string, owner long, totals binary, n long, different long"
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def _rows(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.table([pa.array([r[i] for r in rows], _KINDS[kind]) for i, (_, kind) in enumerate(fields)], names=[name for name, _ in fields])
 
 
 def _wanted(n_ranges: int):
@@ -148,36 +172,69 @@ def _wanted(n_ranges: int):
         for batch in batches:
             for block, held, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 grams = Grams(packed)
-                rows = []
                 for kind, keys, counts in zip((1, 2), (grams.words, grams.pairs), grams.counts()):
                     counts = np.zeros_like(counts) if held else counts
-                    rows += [(k, kind, block, _pack_keys(keys[a:b]), _pack_counts(counts[a:b])) for k, a, b in _ranges(keys, n_ranges)]
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["range", "kind", "block", "keys", "counts"])
+                    rows = [(kind, "0", str(low), str(high), block, *part) for low, high, *part in _cut(keys, counts, 0, 1 << 64, n_ranges)]
+                    yield from _rows(rows, PIECE).to_batches()
     return run
 
 
-def _added(table: pa.Table) -> pa.Table:
-    """One range over all blocks: the totals for each block, and in a row without block what is there in all."""
-    keys = [_unpack_keys(x) for x in table.column("keys").to_pylist()]
-    counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
-    different, at = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(at, counts, len(different)).astype(np.int64)
-    each = np.split(totals[at], np.cumsum([len(k) for k in keys])[:-1])
-    blocks = [*table.column("block").to_pylist(), None]
-    packed = [*map(_pack_counts, each), None]
-    place, kind = table.column("range")[0].as_py(), table.column("kind")[0].as_py()
-    none = [None] * len(each)
-    return pa.table({
-        "range": pa.array([place] * len(blocks), pa.int32()), "kind": pa.array([kind] * len(blocks), pa.int32()), "block": pa.array(blocks, pa.int64()),
-        "totals": pa.array(packed, pa.binary()), "n": pa.array([*none, int(totals.sum())], pa.int64()), "different": pa.array([*none, int((totals > 0).sum())], pa.int64()),
-    })
+def _merged(pieces: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Ascending keys of several pieces, their counts added up, and where each piece's keys are among them."""
+    own = [_unpack_keys(x) for x in pieces.column("keys").to_pylist()]
+    keys, at = np.unique(np.concatenate(own), return_inverse=True)
+    counts = np.concatenate([_unpack_counts(x) for x in pieces.column("counts").to_pylist()])
+    return keys, np.bincount(at, counts, len(keys)).astype(np.int64), np.split(at, np.cumsum([len(k) for k in own])[:-1])
+
+
+def _given(pieces: pa.Table, totals: np.ndarray, places: list[np.ndarray]) -> list[tuple]:
+    """Rows of TOTALS: each piece's totals in its own order."""
+    names = zip(*(pieces.column(c).to_pylist() for c in ("kind", "parent", "low", "owner")))
+    return [(*name, _pack_counts(totals[at]), None, None) for name, at in zip(names, places)]
+
+
+def _added(pieces: pa.Table) -> pa.Table:
+    """One range over all owners: the totals for each piece, and in a row without owner what is there in all."""
+    _, totals, places = _merged(pieces)
+    kind, low = pieces.column("kind")[0].as_py(), pieces.column("low")[0].as_py()
+    return _rows([*_given(pieces, totals, places), (kind, None, low, None, None, int(totals.sum()), int((totals > 0).sum()))], TOTALS)
+
+
+def _handed_down(pieces: pa.Table, sums: pa.Table) -> pa.Table:
+    """The totals of a merged piece, given to the pieces that it was merged of."""
+    _, _, places = _merged(pieces)
+    parts = sorted(sums.column("parts")[0].as_py(), key=lambda x: int(x["low"]))
+    return _rows(_given(pieces, np.concatenate([_unpack_counts(x["totals"]) for x in parts]), places), TOTALS)
+
+
+def add_up(pieces: DataFrame, n_ranges: int, owners: int) -> DataFrame:
+    """The totals of each piece, in its own order, and rows without owner with what is there in all.
+
+    Each range of the pieces is to be cut into ``n_ranges`` more; at most ``owners`` have pieces in one.
+    """
+    if n_ranges <= 1:
+        return pieces.groupBy("kind", "low").applyInArrow(_added, TOTALS)
+    groups, now = max(1, -(-owners // MOST_RANGES)), min(n_ranges, MOST_RANGES)
+
+    def merge(table: pa.Table) -> pa.Table:
+        """A group of owners' pieces as one, cut into finer ranges."""
+        keys, counts, _ = _merged(table)
+        kind, low, high, group = (table.column(c)[0].as_py() for c in ("kind", "low", "high", "grp"))
+        return _rows([(kind, low, str(a), str(b), group, *part) for a, b, *part in _cut(keys, counts, int(low), int(high), now)], PIECE)
+
+    pieces = stored(pieces.withColumn("grp", F.pmod(F.xxhash64("owner"), F.lit(groups))), "pieces")
+    finer = stored(pieces.groupBy("kind", "low", "grp").applyInArrow(merge, PIECE), "finer")
+    found = stored(add_up(finer, -(-n_ranges // now), groups), "found")
+    # A merged piece was cut into MOST_RANGES at most.
+    sums = found.where("owner is not null").groupBy("kind", "parent", "owner").agg(F.collect_list(F.struct("low", "totals")).alias("parts"))
+    down = pieces.groupBy("kind", "low", "grp").cogroup(sums.groupBy("kind", "parent", "owner")).applyInArrow(_handed_down, TOTALS)
+    return down.unionByName(found.where("owner is null"))
 
 
 def _looked_up(row_docs: bytes, found: list, documents: int):
     grams = Grams(row_docs)
     parts = {1: [], 2: []}
-    for item in sorted(found, key=lambda x: (x["kind"], x["range"])):
+    for item in sorted(found, key=lambda x: int(x["low"])):
         parts[item["kind"]].append(_unpack_counts(item["totals"]))
     return grams, grams.totals(*(np.concatenate(parts[k]) for k in (1, 2)), documents)
 
@@ -242,16 +299,17 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """
     spark = docs.sparkSession
     blocks = stored(id_and_text(docs, id_col, text_col).mapInArrow(_blocks, "block long, held boolean, rows long, grams long, docs binary"), "blocks")
-    grams, documents = blocks.agg(F.sum("grams"), F.sum(F.when(~F.col("held"), F.col("rows")).otherwise(0))).collect()[0]
+    grams, documents, n_blocks = blocks.agg(F.sum("grams"), F.sum(F.when(~F.col("held"), F.col("rows")).otherwise(0)), F.count(F.lit(1))).collect()[0]
     if grams is None:
         return spark.createDataFrame([], RESULT)
     n_ranges = max(1, -(-grams // RANGE_GRAMS))
-    wanted = blocks.select("block", "held", "docs").mapInArrow(_wanted(n_ranges), "range int, kind int, block long, keys binary, counts binary")
-    totals = wanted.groupBy("range", "kind").applyInArrow(_added, "range int, kind int, block long, totals binary, n long, different long")
-    totals = stored(totals, "totals")
-    whole = totals.where("block is null and kind = 1").agg(F.sum("n"), F.sum("different")).collect()[0]
+    now = min(n_ranges, MOST_RANGES)
+    wanted = blocks.select("block", "held", "docs").mapInArrow(_wanted(now), PIECE)
+    totals = stored(add_up(wanted, -(-n_ranges // now), n_blocks), "totals")
+    whole = totals.where("owner is null and kind = 1").agg(F.sum("n"), F.sum("different")).collect()[0]
     n, different = int(whole[0] or 0), int(whole[1] or 0)
-    found = totals.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("range", "kind", "totals")).alias("found"))
+    # A block was cut into MOST_RANGES at most, for each kind.
+    found = totals.where("owner is not null").groupBy(F.col("owner").alias("block")).agg(F.collect_list(F.struct("low", "kind", "totals")).alias("found"))
     ready = blocks.join(found, "block")
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

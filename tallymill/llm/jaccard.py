@@ -12,8 +12,12 @@ Set relations are used to skip work:
   So what is known of the leaders skips or settles their members.  Leaders of lists that still touch several
   components are compared, and members only where the leaders' distance leaves a link possible.
 
-No list is held by a task as a whole.  Pairs of members are not written out, but pairs of a list's leaders are,
-as far as sizes and positions leave a link possible.
+* Signatures.  A class has 1024 bits, each the parity of its shingles that a hash sends there.  Bits in which two
+  classes differ are at most as many as the shingles in which they do, so a pair with too many is skipped unread; leaders that
+  share a shingle by chance, as texts around common passages do, are skipped where they meet and never written.
+
+No list is held by a task as a whole.  Pairs of members are not written out; pairs of a list's leaders are, where sizes,
+positions and signatures leave a link possible.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from tallymill.llm.shingles import Shingler, set_key
 COUNTERS = 1 << 22
 PART = 1 << 16
 SHIFT = np.uint64(64 - 22)
+# Longs of a signature (a power of two).
+SIGNATURE = 16
 # A list of more members than this is cut into several with a leader each.
 LIST_MEMBERS = 50_000
 # Ids are broadcast up to this number (8 bytes each); beyond it texts are shuffled to them.
@@ -50,6 +56,18 @@ def _parts(batch: pa.RecordBatch) -> Iterator[list[list]]:
         yield [column.to_pylist() for column in batch.slice(start, ROWS_AT_A_TIME).columns]
 
 
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles by their leading bits, as longs."""
+    bits = 64 * SIGNATURE
+    counts = np.bincount((shingles >> np.uint64(65 - bits.bit_length())).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def _differing(x: str, y: str) -> str:
+    """SQL for the number of bits in which two rows' signatures differ; ``{}`` stands for a long's number."""
+    return " + ".join(f"bit_count({x.format(k)} ^ {y.format(k)})" for k in range(SIGNATURE))
+
+
 PROFILE = "doc_id long, row long, n int, a long, b long, part int, counts binary"
 
 
@@ -107,7 +125,7 @@ def _index(sketch):
         cuts[list(long_lists)] = list(long_lists.values())
         for batch in batches:
             for texts, *_ in _parts(batch):
-                keys, sizes, prefixes = [], [], []
+                keys, sizes, prefixes, signatures = [], [], [], []
                 for text in texts:
                     members = shingler(text)
                     n = len(members)
@@ -120,6 +138,7 @@ def _index(sketch):
                     keys.append(key)
                     sizes.append(n)
                     prefixes.append(members[first])
+                    signatures.append(signature(members))
                 flat = np.concatenate([*prefixes, np.zeros(0, np.uint64)])
                 ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
                 owners = np.repeat(np.array([k[0] for k in keys], np.int64), np.diff(ends))
@@ -129,7 +148,8 @@ def _index(sketch):
                     *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)), pa.array(sizes, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(salts)),
-                ], names=["a", "b", "n", "tokens", "salts"])
+                    *(pa.array([x[k] for x in signatures], pa.int64()) for k in range(SIGNATURE)),
+                ], names=["a", "b", "n", "tokens", "salts", *(f"s{k}" for k in range(SIGNATURE))])
     return run
 
 
@@ -150,6 +170,14 @@ def _possible(n, m, at, to) -> F.Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * left >= 4 * (n + m))
 
 
+def _screened(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` (``x``, ``y``) without those whose signatures rule a link out."""
+    for side in ("x", "y"):
+        own = [F.col(f"s{k}").alias(f"{side}{k}") for k in range(SIGNATURE)]
+        pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), *own), side)
+    return pairs.where(f"9 * ({_differing('x{}', 'y{}')}) <= n_x + n_y").select("x", "y")
+
+
 def _compared(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     """``pairs`` (``x``, ``y``) with the size of their sets' symmetric difference, ``apart``.
 
@@ -181,10 +209,11 @@ def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     if sized.where("n > 3").isEmpty():
         return _labelled(sized, None)
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(profiles))
-    index = texts.mapInArrow(_index(sketch), "a long, b long, n int, tokens array<long>, salts array<short>")
+    signatures = ", ".join(f"s{k} long" for k in range(SIGNATURE))
+    index = texts.mapInArrow(_index(sketch), f"a long, b long, n int, tokens array<long>, salts array<short>, {signatures}")
     index = stored(index.dropDuplicates(["a", "b"]).withColumn("c", F.monotonically_increasing_id()), "index")
     firsts = sized.groupBy("a", "b").agg(F.min("row").alias("rep"), F.min("doc_id").alias("first_id"))
-    classes = stored(index.select("c", "a", "b", "n").join(firsts, ["a", "b"]), "classes")
+    classes = stored(index.drop("tokens", "salts").join(firsts, ["a", "b"]), "classes")
     entries = index.select("c", "n", F.posexplode(F.arrays_zip("tokens", "salts")).alias("at", "entry")).select(
         F.col("entry.tokens").alias("token"), F.col("entry.salts").alias("salt"), "c", "n", (F.col("at") + 1).alias("at"))
     return _labelled(sized, _join(entries, classes, texts))
@@ -205,7 +234,7 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     }).where((F.col("leader") != F.col("c")) | F.col("more").isNotNull() | (F.col("salt") >= 0)).drop("more")
     lists = stored(lists, "lists")
     first = lists.where("leader != c").where(_possible(F.col("n"), F.col("leader_n"), F.col("at"), F.col("leader_at")))
-    near = _compared(first.select(F.col("c").alias("x"), F.col("leader").alias("y")).distinct(), texts, classes)
+    near = _compared(_screened(first.select(F.col("c").alias("x"), F.col("leader").alias("y")).distinct(), classes), texts, classes)
     links = near.where("9 * apart <= both").select("x", "y", "apart")
     star = links.groupBy("x").agg(F.min(F.struct(F.col("y").alias("star"), F.col("apart"))).alias("s")).select(F.col("x").alias("c"), "s.star", "s.apart")
     label = connected(links.select("x", "y"))
@@ -216,10 +245,12 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     rest = stored(rest.join(open_tokens, "token"), "rest")
     by_star = rest.groupBy("token", "star", "label").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"), F.max(F.col("apart") + F.lit(0)).alias("radius"))
+    by_star = stored(by_star.join(classes.select(F.col("c").alias("star"), *(f"s{k}" for k in range(SIGNATURE))), "star"), "by-star")
     mine, other = by_star.alias("x"), by_star.alias("y")
     pair = mine.join(other, "token").where("x.star < y.star and x.label != y.label and 5 * x.most >= 4 * y.least and 5 * y.most >= 4 * x.least")
     # Positions as favourable as the stars' members have them, at the largest sizes.
-    reach = F.expr("9 * (1 + least(x.most - x.at, y.most - y.at)) >= 4 * (x.least + y.least)")
+    reach = F.expr("9 * (1 + least(x.most - x.at, y.most - y.at)) >= 4 * (x.least + y.least)"
+                   f" and 9 * ({_differing('x.s{}', 'y.s{}')} - x.radius - y.radius) <= x.most + y.most")
     by_token = stored(pair.where(reach).select(
         "token", F.col("x.star").alias("x"), F.col("y.star").alias("y"), F.expr("x.radius + y.radius").alias("radii"), F.expr("x.most + y.most").alias("sizes"),
         F.col("y.least").alias("y_least"), F.col("y.most").alias("y_most"), F.col("y.at").alias("y_at"), F.col("y.radius").alias("y_radius"),
@@ -237,7 +268,7 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     both = (F.col("l.token") == F.col("r.token")) & (F.col("l.y") == F.col("r.star")) & F.expr(
         "l.label != r.label and 9 * (l.between - l.apart - r.apart) <= l.n + r.n")
     members = some.join(right, both & _possible(F.col("l.n"), F.col("r.n"), F.col("l.at"), F.col("r.at")))
-    last = _compared(members.select(F.col("l.c").alias("x"), F.col("r.c").alias("y")).distinct(), texts, classes)
+    last = _compared(_screened(members.select(F.col("l.c").alias("x"), F.col("r.c").alias("y")).distinct(), classes), texts, classes)
     final = connected(links.select("x", "y").union(last.where("9 * apart <= both").select("x", "y")))
     # The smallest document of a component, not the smallest class number.
     named_by = final.join(classes, "c").groupBy("label").agg(F.min("first_id").alias("component_id"))

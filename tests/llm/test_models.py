@@ -200,9 +200,10 @@ def brute_scores(rows):
         yield i, zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0, len(w), sum(words[x] > 0 for x in w), n, base, score
 
 
-@pytest.mark.parametrize("block", [200, 10**6])
-def test_scores_equal_brute_force(spark, make_docs, monkeypatch, block):
+@pytest.mark.parametrize("block, ranges", [(200, 1024), (10**6, 1024), (200, 4)])
+def test_scores_equal_brute_force(spark, make_docs, monkeypatch, block, ranges):
     monkeypatch.setattr(interpolation, "BLOCK_CHARS", block)
+    monkeypatch.setattr(interpolation, "MOST_RANGES", ranges)
     monkeypatch.setattr(interpolation, "RANGE_GRAMS", 150)
     rand = random.Random(6)
     vocabulary = [f"w{int(rand.expovariate(0.05))}" for _ in range(500)]
@@ -217,6 +218,26 @@ def test_scores_equal_brute_force(spark, make_docs, monkeypatch, block):
         assert mine[5:] == pytest.approx(theirs[5:], rel=1e-9, abs=1e-9)
 
 
+def test_pieces_of_a_block_do_not_grow_with_the_input(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(interpolation, "BLOCK_CHARS", 2000)
+    monkeypatch.setattr(interpolation, "RANGE_GRAMS", 100)
+    monkeypatch.setattr(interpolation, "MOST_RANGES", 8)
+    rand, counts = random.Random(7), {}
+    real = interpolation.stored
+    monkeypatch.setattr(interpolation, "stored", lambda df, label: counts.setdefault(label, []).append(out := real(df, label)) or out)
+    moved = []
+    for n in (40, 400):
+        counts.clear()
+        rows = [(i, " ".join(f"w{rand.randint(0, 3000)}" for _ in range(60))) for i in range(n)]
+        assert interpolation.score(make_docs(rows)).count() == n
+        # Each round of cutting keeps a block's number of pieces: at most two kinds of eight ranges.
+        blocks = counts["blocks"][0].count()
+        sizes = [df.count() / blocks for label in ("pieces", "finer") for df in counts.get(label, [])]
+        moved.append(max(sizes))
+        assert max(sizes) <= 2 * 8 * 8
+    assert moved[1] <= 1.5 * moved[0]
+
+
 def test_scores_without_training_or_held_out_documents(spark, make_docs):
     held = next(i for i in range(100) if interpolation.held_out(i))
     trained = next(i for i in range(100) if not interpolation.held_out(i))
