@@ -4,8 +4,7 @@
 LAB_FILLS = {"customer_id": 0, "promo_code": "NO CODE"}
 HIGH_VALUE_TOTAL = 5
 
-# Taxi: quality rule, thresholds of suspicious rides, length of the top list, table names.
-BAD_DISTANCE = "trip_distance <= 0 OR trip_distance IS NULL"
+# Taxi: thresholds of suspicious rides, length of the top list, table names.
 SUSPICIOUS_FARE_PER_KM = 10.0
 SHORT_TRIP_KM = 1.0
 HIGH_FARE = 25.0

@@ -67,9 +67,14 @@ def normalise_sale_types(df: DataFrame) -> DataFrame:
     return cast_columns(df, SILVER_TYPES)
 
 
+def bad_distance() -> Column:
+    """The taxi quality rule, broken: a distance that is absent or not positive."""
+    return F.col("trip_distance").isNull() | (F.col("trip_distance") <= 0)
+
+
 def ride_metrics(trips: DataFrame) -> DataFrame:
     """Trips of a positive distance with duration (may be negative) and fare per km."""
-    return trips.where("trip_distance > 0").withColumns({
+    return trips.where(~bad_distance()).withColumns({
         "ride_duration_min": minutes_between("pickup_datetime", "dropoff_datetime"),
         "fare_per_km": ratio_if_positive("fare_amount", "trip_distance"),
     })

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallymill.fixed_values import (
-    BAD_DISTANCE, TAXI_BRONZE, TAXI_CLEAN, TAXI_DATABASE, TAXI_SUSPICIOUS, TAXI_TOP, TAXI_WEEKLY, TOP_FARES,
+    TAXI_BRONZE, TAXI_CLEAN, TAXI_DATABASE, TAXI_SUSPICIOUS, TAXI_TOP, TAXI_WEEKLY, TOP_FARES,
 )
 from tallymill.operators.aggregate import top_rows, weekly_rollup
-from tallymill.operators.clean import count_side_by_side, count_where, flag_suspicious, ride_metrics
+from tallymill.operators.clean import bad_distance, count_side_by_side, count_where, flag_suspicious, ride_metrics
 from tallymill.schemas import TAXI_TRIPS
 from tallymill.sinks.writers import overwrite_table, use_database
 from tallymill.sources.readers import read_csv
@@ -44,4 +44,4 @@ def layer_counts(spark: SparkSession) -> DataFrame:
 
 def bad_trips(spark: SparkSession) -> DataFrame:
     """Rule check on the clean table: must be zero."""
-    return count_where(spark.table(TAXI_CLEAN), BAD_DISTANCE, "bad_trips_in_silver")
+    return count_where(spark.table(TAXI_CLEAN), bad_distance(), "bad_trips_in_silver")

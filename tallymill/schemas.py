@@ -14,13 +14,10 @@ _TYPES = {
 }
 
 
-def table(columns: str) -> T.StructType:
-    """``"a long!, b string"`` -> StructType; ``!`` marks a column that is never null."""
-    fields = []
-    for item in columns.split(","):
-        name, kind = item.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
+def table(columns: str, never_null: tuple[str, ...] = ()) -> T.StructType:
+    """``"a long, b string"`` -> StructType, without a session; ``never_null`` names columns."""
+    pairs = [item.split() for item in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind], name not in never_null) for name, kind in pairs])
 
 
 LAB_SALES = table(
@@ -34,8 +31,8 @@ TAXI_TRIPS = table(
 )
 
 ORDERS = table(
-    "order_id string!, order_timestamp timestamp!, customer_id string!, country string!, "
-    "amount double!, currency string!, status string!"
+    "order_id string, order_timestamp timestamp, customer_id string, country string, amount double, currency string, status string",
+    never_null=("order_id", "order_timestamp", "customer_id", "country", "amount", "currency", "status"),
 )
 
 # Prices are double already in the raw layer: declared as int, a value such as
@@ -50,8 +47,9 @@ _LOAD_METADATA = "ingestion_timestamp timestamp, source_system string, source_fi
 BRONZE_SALES = T.StructType(RAW_SALES.fields + table(_LOAD_METADATA).fields)
 
 SILVER_SALES = table(
-    "transaction_id string!, transaction_timestamp timestamp, store_id string, product_id string, "
-    "quantity int, unit_price double, discount double, total_amount double, currency string, " + _LOAD_METADATA
+    "transaction_id string, transaction_timestamp timestamp, store_id string, product_id string, "
+    "quantity int, unit_price double, discount double, total_amount double, currency string, " + _LOAD_METADATA,
+    never_null=("transaction_id",),
 )
 
 PRODUCTS = table("product_id string, product_name string, category string, brand string, standard_price int")

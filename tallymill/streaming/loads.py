@@ -60,7 +60,7 @@ def merge_latest(table: VersionedTable, batch: DataFrame, keys: Sequence[str], n
     The outcome does not depend on how rows are spread over batches.
     """
     rivals = matched(table.read(), batch, keys).select(*batch.columns)
-    return table.upsert(latest_per_key(batch.unionByName(rivals), keys, newest_first), keys)
+    return table.upsert(latest_per_key(batch.unionByName(rivals), keys, newest_first), keys, unique=True)
 
 
 def stream_latest(stream: DataFrame, table: VersionedTable, checkpoint: str, keys: Sequence[str],
