@@ -32,8 +32,9 @@ def _dense(sums: DataFrame, period: str, step: str, keys: Sequence[str]) -> Data
     ``sums`` has one row per key and period.  A calendar is generated for each key and joined with the sums by key and
     period, so a key with a stray far date costs its own periods and no more.
     """
-    # The condition on ``_n`` is always true; it keeps this plan equal to the join's other side, whose shuffle
-    # output Spark then reads twice instead of scanning the facts again.
+    # These conditions are always true.  The join puts the first on its other side, and the second keeps ``amount``: so both
+    # sides' plans are equal, and Spark reads the same shuffle output twice instead of scanning the facts again.
+    sums = sums.where(F.col(period).isNotNull())
     spans = sums.groupBy(*keys).agg(F.min(period).alias("_first"), F.max(period).alias("_last"), F.count("amount").alias("_n")).where("_n >= 0")
     days = spans.select(*[F.col(k).alias(f"_{k}") for k in keys], _each("_first", "_last", step).alias("_period"))
     same = F.col("_period") == F.col(period)
