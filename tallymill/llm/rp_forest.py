@@ -11,7 +11,7 @@ clusters, it is taken to fall on at nearly the same rate; where it does not, as
 no index can leave out much.  A leaf that has more members than its share of the comparisons is split on
 within the task, by a tree fitted on the members there, and the query visits its nearest parts only.
 
-Equal vectors are one point, so a vector that is very frequent is looked at once.  Leaves with very many members or
+Equal vectors are one point, so a vector that is very frequent is looked at once.  Branches with very many members or
 queries are cut into blocks of bounded size on both sides.
 """
 
@@ -37,7 +37,9 @@ LEAST_LEAF = 6
 # Share of the true neighbours of the sample's points that is to be found, of how many points it is measured, how much
 # more than was needed there is spent, and how much of the fall from a quarter of the sample to the whole is trusted beyond it.
 TARGET, MEASURED, MARGIN, TRUSTED = 0.95, 48, 1.2, 0.9
-# Members, and queries, of a leaf that one task compares at most.
+# Neighbouring leaves of a tree, a branch, that are brought to a task together: a query comes once for all of them.
+TOGETHER = 32
+# Members, and queries, of a branch that one task compares at most.
 BLOCK, QUERY_BLOCK = 20_000, 2_000
 SEED = 7
 
@@ -244,44 +246,57 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col="vec_id", v
     def ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for q, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = search.value.visited(np.frombuffer(v, kind))
-                columns = [pa.array([w[i] for w in found], pa.int32()) for i in range(2)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([q] * len(found), pa.int64()), pa.array([v] * len(found), pa.binary())], names=["tree", "leaf", "q", "qv"])
+                branches: dict[tuple[int, int], list[int]] = {}
+                for tree, leaf in search.value.visited(np.frombuffer(v, kind)):
+                    branches.setdefault((tree, leaf // TOGETHER), []).append(leaf)
+                n = len(branches)
+                yield pa.RecordBatch.from_arrays([
+                    *(pa.array([w[i] for w in branches], pa.int32()) for i in range(2)), pa.array(list(branches.values()), pa.list_(pa.int32())),
+                    pa.array([q] * n, pa.int64()), pa.array([v] * n, pa.binary()),
+                ], names=["tree", "branch", "leaves", "q", "qv"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 leaves = search.value.forest.leaves(_matrix(batch.column(1), kind, dims))
                 for tree in range(leaves.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, tree), pa.int32()), pa.array(leaves[:, tree], pa.int32()), *batch.columns], names=["tree", "leaf", "p", "v", "first"])
+                    own = leaves[:, tree]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(batch.num_rows, tree), pa.int32()), pa.array(own // TOGETHER, pa.int32()), pa.array(own, pa.int32()), *batch.columns,
+                    ], names=["tree", "branch", "leaf", "p", "v", "first"])
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Exact distances of a leaf block's members to its queries; the k + 1 nearest points of each."""
+        """Exact distances of the visited leaves' members in a block to its queries; the k + 1 nearest points of each."""
         out: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
-            asked_by, member, first = (np.array(x) for x in (left.column("q"), right.column("p"), right.column("first")))
-            held = search.value.rows(_matrix(right.column("v"), kind, dims))
-            for q, query in zip(asked_by, _matrix(left.column("qv"), kind, dims)):
-                near = held.near(query)
-                away = np.sqrt(((held.held[near] - query) ** 2).sum(axis=1))
-                best = np.lexsort((first[near], away))[:k + 1]
-                out.append((np.full(len(best), q), member[near[best]], away[best]))
+            member, first, leaf = (np.array(right.column(c)) for c in ("p", "first", "leaf"))
+            held = _matrix(right.column("v"), kind, dims)
+            of_leaf = {k: np.flatnonzero(leaf == k) for k in np.unique(leaf).tolist()}
+            rows = {k: search.value.rows(held[own]) for k, own in of_leaf.items()}
+            for q, leaves, query in zip(left.column("q").to_pylist(), left.column("leaves").to_pylist(), _matrix(left.column("qv"), kind, dims)):
+                found = [of_leaf[k][rows[k].near(query)] for k in leaves if k in rows]
+                if found:
+                    near = np.concatenate(found)
+                    away = np.sqrt(((held[near] - query) ** 2).sum(axis=1))
+                    best = np.lexsort((first[near], away))[:k_nearest]
+                    out.append((np.full(len(best), q), member[near[best]], away[best]))
         columns = [np.concatenate([x[i] for x in out]) if out else np.zeros(0) for i in range(3)]
         return pa.table({"q": pa.array(columns[0], pa.int64()), "p": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 
-    keys = ["tree", "leaf", "block", "query_block"]
-    visited = starts.mapInArrow(ways, "tree int, leaf int, q long, qv binary")
-    index = packed.mapInArrow(places, "tree int, leaf int, p long, v binary, first long")
-    # Leaves are as many as the sample allows, so this has a bounded size; most need one block on either side.
-    crowds = index.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    askers = visited.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("query_blocks"))
-    cuts = F.broadcast(stored(crowds.join(askers, ["tree", "leaf"]), "cuts"))
+    k_nearest = k + 1  # one of them may be the query's own
+    keys = ["tree", "branch", "block", "query_block"]
+    visited = starts.mapInArrow(ways, "tree int, branch int, leaves array<int>, q long, qv binary")
+    index = packed.mapInArrow(places, "tree int, branch int, leaf int, p long, v binary, first long")
+    # Branches are as many as the sample allows, so this has a bounded size; most need one block on either side.
+    crowds = index.groupBy("tree", "branch").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    askers = visited.groupBy("tree", "branch").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("query_blocks"))
+    cuts = F.broadcast(stored(crowds.join(askers, ["tree", "branch"]), "cuts"))
 
     def every(count: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-    dealt_queries = visited.join(cuts, ["tree", "leaf"]).withColumn("query_block", F.pmod(F.xxhash64("q"), "query_blocks")).withColumn("block", every("blocks"))
-    dealt_index = index.join(cuts, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("p"), "blocks")).withColumn("query_block", every("query_blocks"))
-    found = dealt_queries.select(*keys, "q", "qv").groupBy(*keys).cogroup(dealt_index.select(*keys, "p", "v", "first").groupBy(*keys)).applyInArrow(compare, "q long, p long, score double")
+    dealt_queries = visited.join(cuts, ["tree", "branch"]).withColumn("query_block", F.pmod(F.xxhash64("q"), "query_blocks")).withColumn("block", every("blocks"))
+    dealt_index = index.join(cuts, ["tree", "branch"]).withColumn("block", F.pmod(F.xxhash64("p"), "blocks")).withColumn("query_block", every("query_blocks"))
+    found = dealt_queries.select(*keys, "leaves", "q", "qv").groupBy(*keys).cogroup(dealt_index.select(*keys, "leaf", "p", "v", "first").groupBy(*keys)).applyInArrow(compare, "q long, p long, score double")
     found = found.groupBy("q", "p").agg(F.min("score").alias("score"))
     named_ids = found.join(points.select("p", "ids"), "p").withColumn("first", F.element_at("ids", 1))
     near = named_ids.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("score", "first"))).where(F.col("place") <= k + 1)
