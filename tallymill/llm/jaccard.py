@@ -12,9 +12,9 @@ Set relations are used to skip work:
   So what is known of the leaders skips or settles their members.  Leaders of lists that still touch several
   components are compared, and members only where the leaders' distance leaves a link possible.
 
-* Signatures.  A class has 1024 bits, each the parity of its shingles that a hash sends there.  Bits in which two
-  classes differ are at most as many as the shingles in which they do, so a pair with too many is skipped unread; leaders that
-  share a shingle by chance, as texts around common passages do, are skipped where they meet and never written.
+* Signatures.  A class has 512 bits, each the parity of its shingles that a hash sends there.  Bits in which two
+  classes differ are at most as many as the shingles in which they do.  So leaders that share a shingle by chance, as texts around
+  common passages do, are skipped where they meet and never written or read, up to some thousand shingles each.
 
 No list is held by a task as a whole.  Pairs of members are not written out; pairs of a list's leaders are, where sizes,
 positions and signatures leave a link possible.
@@ -38,8 +38,8 @@ from tallymill.llm.shingles import Shingler, set_key
 COUNTERS = 1 << 22
 PART = 1 << 16
 SHIFT = np.uint64(64 - 22)
-# Longs of a signature (a power of two).
-SIGNATURE = 16
+# Longs of a signature (a power of two), and members of a list from which on its leaders are compared by signatures first.
+SIGNATURE, CROWDED = 8, 32
 # A list of more members than this is cut into several with a leader each.
 LIST_MEMBERS = 50_000
 # Ids are broadcast up to this number (8 bytes each); beyond it texts are shuffled to them.
@@ -170,14 +170,6 @@ def _possible(n, m, at, to) -> F.Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * left >= 4 * (n + m))
 
 
-def _screened(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` (``x``, ``y``) without those whose signatures rule a link out."""
-    for side in ("x", "y"):
-        own = [F.col(f"s{k}").alias(f"{side}{k}") for k in range(SIGNATURE)]
-        pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), *own), side)
-    return pairs.where(f"9 * ({_differing('x{}', 'y{}')}) <= n_x + n_y").select("x", "y")
-
-
 def _compared(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     """``pairs`` (``x``, ``y``) with the size of their sets' symmetric difference, ``apart``.
 
@@ -213,13 +205,13 @@ def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     index = texts.mapInArrow(_index(sketch), f"a long, b long, n int, tokens array<long>, salts array<short>, {signatures}")
     index = stored(index.dropDuplicates(["a", "b"]).withColumn("c", F.monotonically_increasing_id()), "index")
     firsts = sized.groupBy("a", "b").agg(F.min("row").alias("rep"), F.min("doc_id").alias("first_id"))
-    classes = stored(index.drop("tokens", "salts").join(firsts, ["a", "b"]), "classes")
+    classes = stored(index.select("c", "a", "b", "n").join(firsts, ["a", "b"]), "classes")
     entries = index.select("c", "n", F.posexplode(F.arrays_zip("tokens", "salts")).alias("at", "entry")).select(
         F.col("entry.tokens").alias("token"), F.col("entry.salts").alias("salt"), "c", "n", (F.col("at") + 1).alias("at"))
-    return _labelled(sized, _join(entries, classes, texts))
+    return _labelled(sized, _join(entries, classes, index.select("c", *(f"s{k}" for k in range(SIGNATURE))), texts))
 
 
-def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _join(entries: DataFrame, classes: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
     """``a``, ``b``, ``label`` of the classes that are linked with another."""
     from pyspark.sql import Window
 
@@ -234,27 +226,29 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     }).where((F.col("leader") != F.col("c")) | F.col("more").isNotNull() | (F.col("salt") >= 0)).drop("more")
     lists = stored(lists, "lists")
     first = lists.where("leader != c").where(_possible(F.col("n"), F.col("leader_n"), F.col("at"), F.col("leader_at")))
-    near = _compared(_screened(first.select(F.col("c").alias("x"), F.col("leader").alias("y")).distinct(), classes), texts, classes)
+    near = _compared(first.select(F.col("c").alias("x"), F.col("leader").alias("y")).distinct(), texts, classes)
     links = near.where("9 * apart <= both").select("x", "y", "apart")
     star = links.groupBy("x").agg(F.min(F.struct(F.col("y").alias("star"), F.col("apart"))).alias("s")).select(F.col("x").alias("c"), "s.star", "s.apart")
     label = connected(links.select("x", "y"))
     known = stored(classes.select("c").join(star, "c", "left").join(label, "c", "left").select(
         "c", F.coalesce("star", "c").alias("star"), F.coalesce("apart", F.lit(0)).alias("apart"), F.coalesce("label", "c").alias("label")), "stars")
     rest = lists.select("token", "c", "n", "at").join(known, "c")
-    open_tokens = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    rest = stored(rest.join(open_tokens, "token"), "rest")
-    by_star = rest.groupBy("token", "star", "label").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"), F.max(F.col("apart") + F.lit(0)).alias("radius"))
-    by_star = stored(by_star.join(classes.select(F.col("c").alias("star"), *(f"s{k}" for k in range(SIGNATURE))), "star"), "by-star")
-    mine, other = by_star.alias("x"), by_star.alias("y")
-    pair = mine.join(other, "token").where("x.star < y.star and x.label != y.label and 5 * x.most >= 4 * y.least and 5 * y.most >= 4 * x.least")
-    # Positions as favourable as the stars' members have them, at the largest sizes.
-    reach = F.expr("9 * (1 + least(x.most - x.at, y.most - y.at)) >= 4 * (x.least + y.least)"
-                   f" and 9 * ({_differing('x.s{}', 'y.s{}')} - x.radius - y.radius) <= x.most + y.most")
-    by_token = stored(pair.where(reach).select(
-        "token", F.col("x.star").alias("x"), F.col("y.star").alias("y"), F.expr("x.radius + y.radius").alias("radii"), F.expr("x.most + y.most").alias("sizes"),
-        F.col("y.least").alias("y_least"), F.col("y.most").alias("y_most"), F.col("y.at").alias("y_at"), F.col("y.radius").alias("y_radius"),
-    ), "star-pairs")
+    open_tokens = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count(F.lit(1)) > CROWDED).alias("crowded"))
+    rest = stored(rest.join(open_tokens.where("low < high").select("token", "crowded"), "token"), "rest")
+    by_star = stored(rest.groupBy("token", "crowded", "star", "label").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"), F.max(F.col("apart") + F.lit(0)).alias("radius")), "by-star")
+    # Of few stars all pairs are few; of many those are left out that signatures rule out.
+    signatures = [F.col(f"s{k}") for k in range(SIGNATURE)]
+    few, many = by_star.where("not crowded"), by_star.where("crowded").join(signed.select(F.col("c").alias("star"), *signatures), "star")
+    by_token = None
+    for stars, unlike in ((few, "true"), (many, f"9 * ({_differing('x.s{}', 'y.s{}')} - x.radius - y.radius) <= x.most + y.most")):
+        pair = stars.alias("x").join(stars.alias("y"), "token").where("x.star < y.star and x.label != y.label and 5 * x.most >= 4 * y.least and 5 * y.most >= 4 * x.least")
+        # Positions as favourable as the stars' members have them, at the largest sizes.
+        pair = pair.where(f"9 * (1 + least(x.most - x.at, y.most - y.at)) >= 4 * (x.least + y.least) and {unlike}").select(
+            "token", F.col("x.star").alias("x"), F.col("y.star").alias("y"), F.expr("x.radius + y.radius").alias("radii"), F.expr("x.most + y.most").alias("sizes"),
+            F.col("y.least").alias("y_least"), F.col("y.most").alias("y_most"), F.col("y.at").alias("y_at"), F.col("y.radius").alias("y_radius"))
+        by_token = pair if by_token is None else by_token.unionByName(pair)
+    by_token = stored(by_token, "star-pairs")
     pair = stored(by_token.groupBy("x", "y").agg(F.max("radii").alias("radii"), F.max("sizes").alias("sizes")), "leaders")
     apart = _compared(pair.select("x", "y"), texts, classes)
     close = pair.join(apart, ["x", "y"]).where("9 * (apart - radii) <= sizes").select("x", "y", F.col("apart").alias("between"))
@@ -268,7 +262,7 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     both = (F.col("l.token") == F.col("r.token")) & (F.col("l.y") == F.col("r.star")) & F.expr(
         "l.label != r.label and 9 * (l.between - l.apart - r.apart) <= l.n + r.n")
     members = some.join(right, both & _possible(F.col("l.n"), F.col("r.n"), F.col("l.at"), F.col("r.at")))
-    last = _compared(_screened(members.select(F.col("l.c").alias("x"), F.col("r.c").alias("y")).distinct(), classes), texts, classes)
+    last = _compared(members.select(F.col("l.c").alias("x"), F.col("r.c").alias("y")).distinct(), texts, classes)
     final = connected(links.select("x", "y").union(last.where("9 * apart <= both").select("x", "y")))
     # The smallest document of a component, not the smallest class number.
     named_by = final.join(classes, "c").groupBy("label").agg(F.min("first_id").alias("component_id"))
