@@ -73,7 +73,7 @@ PROFILE = "doc_id long, row long, n int, a long, b long, part int, counts binary
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and key of each document's set, and the task's share of the sketch behind them."""
-    shingler, counters = Shingler(), np.zeros(COUNTERS, np.int64)
+    shingler, counters = Shingler(), np.zeros(COUNTERS, np.int32)  # of one task
 
     def rows(ids, marks, sizes, keys, parts, counts):
         arrays = [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(sizes, pa.int32()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))]

@@ -9,7 +9,7 @@ import xxhash
 
 # A shingle has so many words; a shorter text is one shingle.
 WORDS = 5
-CACHED = 300_000
+CACHED = 100_000
 
 
 class _Codes(dict):
