@@ -173,19 +173,20 @@ def _possible(n, m, at, to) -> F.Column:
 def _compared(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     """``pairs`` (``x``, ``y``) with the size of their sets' symmetric difference, ``apart``.
 
-    Only the documents that stand for these classes are read again.
+    Only the documents that stand for these classes are read again.  Of the tables written on the way none stays.
     """
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("c")).distinct().join(classes.select("c", "a", "b", "rep"), "c")
-    wanted = stored(wanted, "wanted")
-    wanted = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
-    chosen = texts.join(wanted, texts.row == F.col("rep")).select("text", "c", "a", "b").mapInArrow(_sets, "c long, members array<long>")
-    # Repeated rows give their class's set again.
-    sets = stored(chosen.dropDuplicates(["c"]), "sets")
-    left, right = sets.select(F.col("c").alias("x"), F.col("members").alias("of_x")), sets.select(F.col("c").alias("y"), F.col("members").alias("of_y"))
-    both = pairs.join(left, "x").join(right, "y")
-    common = F.size(F.array_intersect("of_x", "of_y"))
-    return stored(both.select("x", "y", (F.size("of_x") + F.size("of_y") - 2 * common).alias("apart"), (F.size("of_x") + F.size("of_y")).alias("both")), "compared")
+    def made() -> DataFrame:
+        kept = stored(pairs, "pairs")
+        wanted = kept.select(F.explode(F.array("x", "y")).alias("c")).distinct().join(classes.select("c", "a", "b", "rep"), "c")
+        wanted = stored(wanted, "wanted")
+        wanted = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
+        chosen = texts.join(wanted, texts.row == F.col("rep")).select("text", "c", "a", "b").mapInArrow(_sets, "c long, members array<long>")
+        # Repeated rows give their class's set again.
+        sets = stored(chosen.dropDuplicates(["c"]), "sets")
+        left, right = sets.select(F.col("c").alias("x"), F.col("members").alias("of_x")), sets.select(F.col("c").alias("y"), F.col("members").alias("of_y"))
+        common, both = F.size(F.array_intersect("of_x", "of_y")), F.size("of_x") + F.size("of_y")
+        return kept.join(left, "x").join(right, "y").select("x", "y", (both - 2 * common).alias("apart"), both.alias("both"))
+    return stored_alone(made, "compared")
 
 
 def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -229,7 +230,7 @@ def _join(entries: DataFrame, classes: DataFrame, signed: DataFrame, texts: Data
     near = _compared(first.select(F.col("c").alias("x"), F.col("leader").alias("y")).distinct(), texts, classes)
     links = near.where("9 * apart <= both").select("x", "y", "apart")
     star = links.groupBy("x").agg(F.min(F.struct(F.col("y").alias("star"), F.col("apart"))).alias("s")).select(F.col("x").alias("c"), "s.star", "s.apart")
-    label = connected(links.select("x", "y"))
+    label = stored_alone(lambda: connected(links.select("x", "y")), "labels")
     known = stored(classes.select("c").join(star, "c", "left").join(label, "c", "left").select(
         "c", F.coalesce("star", "c").alias("star"), F.coalesce("apart", F.lit(0)).alias("apart"), F.coalesce("label", "c").alias("label")), "stars")
     rest = lists.select("token", "c", "n", "at").join(known, "c")
@@ -263,7 +264,7 @@ def _join(entries: DataFrame, classes: DataFrame, signed: DataFrame, texts: Data
         "l.label != r.label and 9 * (l.between - l.apart - r.apart) <= l.n + r.n")
     members = some.join(right, both & _possible(F.col("l.n"), F.col("r.n"), F.col("l.at"), F.col("r.at")))
     last = _compared(members.select(F.col("l.c").alias("x"), F.col("r.c").alias("y")).distinct(), texts, classes)
-    final = connected(links.select("x", "y").union(last.where("9 * apart <= both").select("x", "y")))
+    final = stored_alone(lambda: connected(links.select("x", "y").union(last.where("9 * apart <= both").select("x", "y"))), "labels")
     # The smallest document of a component, not the smallest class number.
     named_by = final.join(classes, "c").groupBy("label").agg(F.min("first_id").alias("component_id"))
     return final.join(classes.select("c", "a", "b"), "c").join(named_by, "label").select("a", "b", "component_id")

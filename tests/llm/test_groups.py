@@ -133,6 +133,35 @@ def test_components_equal_brute_force(spark, make_docs, seed):
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_components(rows)
 
 
+@pytest.mark.parametrize("seed", [2, 3])
+def test_signatures_in_every_list_lose_no_link(spark, make_docs, monkeypatch, seed):
+    monkeypatch.setattr(jaccard, "CROWDED", 0)
+    rows = near_rows(seed)
+    got = jaccard.components(clash(make_docs(rows)))
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_components(rows)
+
+
+def test_signatures_differ_in_no_more_bits_than_sets(spark):
+    rand = np.random.default_rng(4)
+    for size, changed in ((3, 1), (60, 7), (900, 100), (40_000, 3)):
+        one = np.unique(rand.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2))
+        two = np.unique(np.concatenate([one[changed:], rand.integers(0, 2**63, changed, dtype=np.uint64)]))
+        bits = np.unpackbits((jaccard.signature(one) ^ jaccard.signature(two)).view(np.uint8)).sum()
+        assert bits <= len(np.setxor1d(one, two))
+
+
+def test_template_documents_give_few_pairs(spark, make_docs, monkeypatch):
+    rand, counts = random.Random(1), {}
+    sentences = [" ".join(f"w{rand.randint(0, 5000)}" for _ in range(15)) for _ in range(50)]
+    real = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, label: counts.setdefault(label, []).append((out := real(df, label)).count()) or out)
+    monkeypatch.setattr(jaccard, "CROWDED", 0)
+    docs = make_docs([(i, " ".join(rand.choice(sentences) for _ in range(4))) for i in range(2500)])
+    jaccard.components(docs).count()
+    # The lists hold leaders that share a sentence or two and hardly more; members are compared with one leader of each list.
+    assert counts["star-pairs"][0] < 250 and counts["pairs"][1] < 250 and sum(counts["pairs"]) < 12 * 2500
+
+
 def test_small_lists_and_all_shuffle_joins(spark, make_docs, monkeypatch):
     monkeypatch.setattr(jaccard, "MOST_BROADCAST", 0)
     rows = near_rows(4)
