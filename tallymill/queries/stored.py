@@ -238,8 +238,6 @@ def _replayed(spark, sf_dir, gold: bool = False) -> RetailLakehouse:
         if gold:
             house.refresh_gold()
     house.refresh_silver()
-    if gold:
-        house.refresh_gold()
     return house
 
 
