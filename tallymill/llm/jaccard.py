@@ -209,11 +209,11 @@ def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     classes = stored(index.select("c", "a", "b", "n").join(firsts, ["a", "b"]), "classes")
     entries = index.select("c", "n", F.posexplode(F.arrays_zip("tokens", "salts")).alias("at", "entry")).select(
         F.col("entry.tokens").alias("token"), F.col("entry.salts").alias("salt"), "c", "n", (F.col("at") + 1).alias("at"))
-    return _labelled(sized, _join(entries, classes, index.select("c", *(f"s{k}" for k in range(SIGNATURE))), texts))
+    return _labelled(sized, _join(entries, classes, texts, index.select("c", *(f"s{k}" for k in range(SIGNATURE)))))
 
 
-def _join(entries: DataFrame, classes: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a``, ``b``, ``label`` of the classes that are linked with another."""
+def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame, signed: DataFrame | None = None) -> DataFrame:
+    """``a``, ``b``, ``label`` of the classes that are linked with another; without signatures no list is screened by them."""
     from pyspark.sql import Window
 
     # Lists of one member are dropped, unless they are a part (salt from 0) of a list that was cut.
@@ -234,15 +234,18 @@ def _join(entries: DataFrame, classes: DataFrame, signed: DataFrame, texts: Data
     known = stored(classes.select("c").join(star, "c", "left").join(label, "c", "left").select(
         "c", F.coalesce("star", "c").alias("star"), F.coalesce("apart", F.lit(0)).alias("apart"), F.coalesce("label", "c").alias("label")), "stars")
     rest = lists.select("token", "c", "n", "at").join(known, "c")
-    open_tokens = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count(F.lit(1)) > CROWDED).alias("crowded"))
+    open_tokens = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count(F.lit(1)) > (2**62 if signed is None else CROWDED)).alias("crowded"))
     rest = stored(rest.join(open_tokens.where("low < high").select("token", "crowded"), "token"), "rest")
     by_star = stored(rest.groupBy("token", "crowded", "star", "label").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"), F.max(F.col("apart") + F.lit(0)).alias("radius")), "by-star")
     # Of few stars all pairs are few; of many those are left out that signatures rule out.
     signatures = [F.col(f"s{k}") for k in range(SIGNATURE)]
-    few, many = by_star.where("not crowded"), by_star.where("crowded").join(signed.select(F.col("c").alias("star"), *signatures), "star")
+    lists_of = [(by_star.where("not crowded"), "true")]
+    if signed is not None:
+        many = by_star.where("crowded").join(signed.select(F.col("c").alias("star"), *signatures), "star")
+        lists_of.append((many, f"9 * ({_differing('x.s{}', 'y.s{}')} - x.radius - y.radius) <= x.most + y.most"))
     by_token = None
-    for stars, unlike in ((few, "true"), (many, f"9 * ({_differing('x.s{}', 'y.s{}')} - x.radius - y.radius) <= x.most + y.most")):
+    for stars, unlike in lists_of:
         pair = stars.alias("x").join(stars.alias("y"), "token").where("x.star < y.star and x.label != y.label and 5 * x.most >= 4 * y.least and 5 * y.most >= 4 * x.least")
         # Positions as favourable as the stars' members have them, at the largest sizes.
         pair = pair.where(f"9 * (1 + least(x.most - x.at, y.most - y.at)) >= 4 * (x.least + y.least) and {unlike}").select(
