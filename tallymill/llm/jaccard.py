@@ -44,6 +44,8 @@ SIGNATURE, CROWDED = 8, 32
 LIST_MEMBERS = 50_000
 # Ids are broadcast up to this number (8 bytes each); beyond it texts are shuffled to them.
 MOST_BROADCAST = 1_000_000
+# What is known of classes (some 40 bytes each) is broadcast to the lists up to this number; beyond it lists are shuffled to it.
+MOST_KNOWN = 500_000
 
 
 def prefix_length(n: int) -> int:
@@ -233,7 +235,8 @@ def _join(entries: DataFrame, classes: DataFrame, texts: DataFrame, signed: Data
     label = stored_alone(lambda: connected(links.select("x", "y")), "labels")
     known = stored(classes.select("c").join(star, "c", "left").join(label, "c", "left").select(
         "c", F.coalesce("star", "c").alias("star"), F.coalesce("apart", F.lit(0)).alias("apart"), F.coalesce("label", "c").alias("label")), "stars")
-    rest = lists.select("token", "c", "n", "at").join(known, "c")
+    # Where no shuffle is needed, a task still has whole lists, and what is found of them is one row each.
+    rest = lists.select("token", "c", "n", "at").join(hinted(known, MOST_KNOWN), "c")
     open_tokens = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count(F.lit(1)) > (2**62 if signed is None else CROWDED)).alias("crowded"))
     rest = stored(rest.join(open_tokens.where("low < high").select("token", "crowded"), "token"), "rest")
     by_star = stored(rest.groupBy("token", "crowded", "star", "label").agg(

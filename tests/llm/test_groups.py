@@ -164,6 +164,7 @@ def test_template_documents_give_few_pairs(spark, make_docs, monkeypatch):
 
 def test_small_lists_and_all_shuffle_joins(spark, make_docs, monkeypatch):
     monkeypatch.setattr(jaccard, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(jaccard, "MOST_KNOWN", 0)
     rows = near_rows(4)
     got = jaccard.components(make_docs(rows))
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_components(rows)
