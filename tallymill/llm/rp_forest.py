@@ -38,7 +38,7 @@ LEAST_LEAF = 6
 # more than was needed there is spent, and how much of the fall from a quarter of the sample to the whole is trusted beyond it.
 TARGET, MEASURED, MARGIN, TRUSTED = 0.95, 48, 1.2, 0.9
 # Neighbouring leaves of a tree, a branch, that are brought to a task together: a query comes once for all of them.
-TOGETHER = 32
+TOGETHER = 256
 # Members, and queries, of a branch that one task compares at most.
 BLOCK, QUERY_BLOCK = 20_000, 2_000
 SEED = 7
