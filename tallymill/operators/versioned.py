@@ -85,6 +85,10 @@ class VersionedTable:
         state = self._version(version)
         return self._read(state, state.folders)
 
+    def is_empty(self) -> bool:
+        """Whether the newest version has no folders, so no rows."""
+        return not self._version().folders
+
     def partition_values(self, column: str) -> list[str]:
         """Values of a partition column in the newest version, sorted as text, without null.
 
@@ -147,22 +151,26 @@ class VersionedTable:
         """Replace rows of matching key by the source's and add the rest.
 
         The source is used three times, so it is written out first unless it is already
-        ``stored``.  A key that occurs twice in it is an error; who has just made the keys ``unique``
+        ``stored`` or, unique, the first content of an empty table.  Only the folders that hold a key of it are read in full.  A key that occurs twice in it is an error; who has just made the keys ``unique``
         says so and saves the check.
         """
         now = self._version()
         number = now.number + 1
-        if not stored:
+        if not stored and not (unique and not now.folders):
             staged = f"{self.root}/staging/version={number}-{uuid.uuid4().hex[:12]}"
             source.write.parquet(staged)
             source = self.spark.read.schema(source.schema).parquet(staged)
         if not unique and not dml.repeated_keys(source, keys).isEmpty():
             raise ValueError(f"source repeats a key of {list(keys)}")
         schema = self._widened(now.schema, source.schema)
-        located = self._located(now).select(*keys, *self._place())
-        touched = self._count_by_folder(now, dml.matched(located, source, keys, null_safe))
-        kept = dml.unmatched(self._read(now, frozenset(touched)), source, keys, null_safe)
-        merged = self._shaped(kept, schema).unionByName(self._shaped(source, schema))
+        touched: dict[str, int] = {}
+        if now.folders:
+            located = self._located(now).select(*keys, *self._place())
+            touched = self._count_by_folder(now, dml.matched(located, source, keys, null_safe))
+        merged = self._shaped(source, schema)
+        if touched:
+            kept = dml.unmatched(self._read(now, frozenset(touched)), source, keys, null_safe)
+            merged = self._shaped(kept, schema).unionByName(merged)
         written, folders = self._write(merged, number)
         return self._commit(
             number, "MERGE", ", ".join(keys), schema, (now.folders - set(touched)) | folders,

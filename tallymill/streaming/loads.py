@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -14,7 +16,7 @@ from tallymill.operators.dml import matched
 from tallymill.operators.versioned import VersionedTable
 from tallymill.plans.medallion import RetailLakehouse
 from tallymill.schemas import RAW_SALES
-from tallymill.sources.readers import checked_lines, checked_options, with_load_metadata
+from tallymill.sources.readers import checked_lines, checked_options, path_exists, with_load_metadata
 
 
 def stream_csv(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None,
@@ -54,20 +56,45 @@ def append_available(stream: DataFrame, path: str, checkpoint: str) -> Streaming
     return query
 
 
-def merge_latest(table: VersionedTable, batch: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> int:
+def merge_latest(table: VersionedTable, batch: DataFrame, keys: Sequence[str], newest_first: Sequence[str], apart: str | None = None) -> int:
     """Upsert the newest row of each key, out of the batch and the table.
 
-    The outcome does not depend on how rows are spread over batches.
+    The outcome does not depend on how rows are spread over batches.  ``apart`` names a column of the batch by which
+    rows of equal keys are told apart; it is not stored.
     """
-    rivals = matched(table.read(), batch, keys).select(*batch.columns)
-    return table.upsert(latest_per_key(batch.unionByName(rivals), keys, newest_first), keys, unique=True)
+    columns = [c for c in batch.columns if c != apart]
+    rows = batch if table.is_empty() else batch.unionByName(matched(table.read(), batch, keys).select(*columns), allowMissingColumns=True)
+    newest = latest_per_key(rows, [*keys, *([apart] if apart else [])], newest_first)
+    return table.upsert(newest.select(*columns), keys, unique=True)
+
+
+_STREAM, _BATCH = "_stream", "_batch"
 
 
 def stream_latest(stream: DataFrame, table: VersionedTable, checkpoint: str, keys: Sequence[str],
                   newest_first: Sequence[str]) -> StreamingQuery:
-    return run_available(
-        stream, checkpoint, lambda batch, _: merge_latest(table, batch, keys, newest_first)
-    )
+    """All files there are now, batch by batch, into a table of the newest row of each key.
+
+    A batch is stored beside the table, each in a folder of its own, so one that is handed over again replaces itself.
+    When all are there they are merged at once: the table is gone through once in a call, however many batches there are.
+    What a call that failed has left is merged by the next one; merging rows again changes nothing.
+    Rows with a null in the key are told apart by batch, as no key equals theirs.
+    """
+    spark, pending = stream.sparkSession, f"{table.root}/pending"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{pending}/{_STREAM}={_query_id(spark, checkpoint)}/{_BATCH}={number}")
+    query = run_available(stream, checkpoint, keep)
+    if path_exists(spark, pending):
+        schema = StructType([*stream.schema.fields]).add(_STREAM, "string").add(_BATCH, "long")
+        waiting = spark.read.schema(schema).parquet(pending)
+        keyless = reduce(or_, [F.col(key).isNull() for key in keys])
+        told = waiting.withColumn(_BATCH, F.when(keyless, F.concat_ws("-", _STREAM, _BATCH))).drop(_STREAM)
+        if not waiting.isEmpty():
+            merge_latest(table, told, keys, newest_first, _BATCH)
+        # Only now: until the merge is committed the rows are needed.
+        spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(_STREAM, _BATCH).parquet(pending)
+    return query
 
 
 def _query_id(spark: SparkSession, checkpoint: str) -> str:

@@ -5,8 +5,10 @@ import datetime as dt
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymill import fixed_values as values
+from tallymill.operators.versioned import VersionedTable
 from tallymill.plans import runlog, taxi
 from tallymill.plans.runlog import RunLog
 from tallymill.schemas import RUN_LOG, TAXI_TRIPS, table
@@ -107,3 +109,26 @@ def test_file_stream_runs_once_per_file(spark, tmp_path):
     first.withColumn("id", F.col("id") + 10).write.mode("append").option("header", True).csv(raw)
     loads.append_available(loads.stream_csv(spark, raw, schema), out, checkpoint)
     assert rows(spark.read.schema(schema).parquet(out), "id") == [(1,), (11,), (12,), (2,)]
+
+
+def test_latest_rows_are_merged_once_in_a_call(spark, tmp_path):
+    """However many batches there are, the table gets one version, and a second call what is new."""
+    raw, checkpoint, schema = str(tmp_path / "raw"), str(tmp_path / "cp"), "k long, at long, what string, part int"
+    table = VersionedTable(spark, str(tmp_path / "table"), ("part",))
+    read = lambda: sorted(map(tuple, table.read().collect()), key=str)
+
+    def add(rows):
+        spark.createDataFrame(rows, schema).repartition(len(rows)).write.mode("append").option("header", True).csv(raw)
+        stream = loads.stream_csv(spark, raw, StructType.fromDDL(schema), files_per_batch=1)
+        loads.stream_latest(stream, table, checkpoint, ["k"], ["at"])
+    table.create_if_absent(StructType.fromDDL(schema))
+    add([(1, 1, "a", 0), (1, 3, "b", 1), (1, 2, "c", 0), (2, 1, "d", 0), (3, 9, "e", 1), (None, 1, "x", 0)])
+    assert table.latest_version() == 1
+    assert read() == sorted([(1, 3, "b", 1), (2, 1, "d", 0), (3, 9, "e", 1), (None, 1, "x", 0)], key=str)
+    add([(2, 5, "f", 1), (3, 4, "g", 0), (4, 1, "h", 0)])
+    assert table.latest_version() == 2
+    assert read() == sorted([(1, 3, "b", 1), (2, 5, "f", 1), (3, 9, "e", 1), (4, 1, "h", 0), (None, 1, "x", 0)], key=str)
+    # What a failed call left behind is merged by the next one.
+    spark.createDataFrame([(4, 2, "i", 0)], schema).write.parquet(f"{table.root}/pending/_stream=s/_batch=0")
+    add([(5, 1, "j", 0)])
+    assert (4, 2, "i", 0) in read() and (5, 1, "j", 0) in read() and len(read()) == 6
