@@ -65,8 +65,6 @@ def change_summary(gone: DataFrame, new: DataFrame, keys: Mapping[str, Column],
 
 def refreshed(state: DataFrame, gone: DataFrame, new: DataFrame, facts: DataFrame, keys: Mapping[str, Column], measures: Measures) -> DataFrame:
     """The state after a change.  ``facts`` are all rows after it; they are read only if some group lost a least or most."""
-    spark = state.sparkSession
-    path = scratch_path(spark, "refreshed")
     change = change_summary(gone, new, keys, measures)
     # Both have a row per group at most, and one aggregation puts them together: null keys are equal in it.
     both = state.unionByName(change, allowMissingColumns=True)
@@ -81,10 +79,14 @@ def refreshed(state: DataFrame, gone: DataFrame, new: DataFrame, facts: DataFram
         held = came <= old if e.startswith("least") else came >= old
         lost = lost | (left.eqNullSafe(old) & old.isNotNull() & ~F.coalesce(held, F.lit(False)))
     now = [(F.least if e.startswith("least") else F.greatest)(e, f"new_{e}").alias(e) for e in extremes]
+    if not extremes:  # nothing can get lost
+        return met.select(*keys, *measures.added())
+    spark = state.sparkSession
+    path = scratch_path(spark, "refreshed")
     met.select(*keys, *measures.added(), *now, lost.alias("_lost")).write.parquet(path)
     written = spark.read.parquet(path)
     sure, unsure = written.where("not _lost").drop("_lost"), written.where("_lost").drop("_lost")
-    if not extremes or unsure.isEmpty():
+    if unsure.isEmpty():
         return sure
     again = summary(_of_groups(facts, unsure, keys), keys, measures)
     return sure.unionByName(again)

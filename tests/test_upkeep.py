@@ -247,3 +247,15 @@ def test_old_periods_leave_the_state_and_late_rows_are_dropped(spark, tmp_path):
     assert rows(stateful.read_latest(spark, str(tmp_path / "out"), EVENTS, ["k"], ["ts"]), "id", "k") == [(20, "a"), (98, "b")]
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert held[-1] <= 2
+
+
+def test_sums_without_extremes_are_not_written_on_the_way(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a scratch table")
+    monkeypatch.setattr(maintained, "scratch_path", refuse)
+    keys, measures = {"k": F.col("k")}, maintained.Measures({"total": F.col("v")}, {"some": F.col("v")})
+    rows = spark.createDataFrame([(1, 5), (1, 7), (2, 1), (None, None)], "k long, v long")
+    gone, new = rows.where("k = 1 and v = 5 or k = 2"), spark.createDataFrame([(3, 4)], "k long, v long")
+    now = rows.exceptAll(gone).unionByName(new)
+    got = maintained.refreshed(maintained.summary(rows, keys, measures), gone, new, now, keys, measures)
+    assert sorted(map(tuple, got.select("k", "_rows", "some").collect()), key=str) == [(1, 1, 1), (3, 1, 1), (None, 1, 0)]
