@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from tallymill.llm.common import map_texts
 
 # Fragments remembered in a task, and the longest such fragment.
-CACHED = 300_000
+CACHED = 150_000
 CACHED_BYTES = 64
 # Fragments that the pre-tokenizer surely leaves whole: letters of Latin scripts.
 ONE_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
@@ -55,16 +55,17 @@ def byte_of_char() -> dict[str, int]:
 class Known(dict):
     """Ids of the fragments met so far; a new one is encoded when it is asked for."""
 
-    def __init__(self, tokenizer: tokenizers.Tokenizer, byte_level: dict[int, str]) -> None:
-        self.encode, self.merge, self.byte_level = tokenizer.encode, tokenizer.model.tokenize, byte_level
+    def __init__(self, tokenizer: tokenizers.Tokenizer, byte_level: dict[int, str], ids: list[int]) -> None:
+        self.encode, self.merge, self.byte_level, self.ids = tokenizer.encode, tokenizer.model.tokenize, byte_level, ids
         self.long: list[bytes] = []
 
     def __missing__(self, piece: bytes) -> tuple[int, ...]:
         text = piece.decode("utf-8")
         if ONE_WORD(text):  # no need to run the pre-tokenizer
-            ids = tuple([t.id for t in self.merge(piece.decode("latin-1").translate(self.byte_level))])
+            found = [t.id for t in self.merge(piece.decode("latin-1").translate(self.byte_level))]
         else:
-            ids = tuple(self.encode(text, add_special_tokens=False).ids)
+            found = self.encode(text, add_special_tokens=False).ids
+        ids = tuple([self.ids[i] for i in found])
         self[piece] = ids
         if len(piece) > CACHED_BYTES:
             self.long.append(piece)
@@ -101,7 +102,9 @@ class Codec:
             self.token_bytes[i] = token.encode()
         self.cut = cuttable(self.token_bytes)
         self.byte_level = {b: c for c, b in byte.items()}
-        self.known = Known(self.tokenizer, self.byte_level)
+        # One object for each id: fragments share them.
+        self.ids = list(range(len(self.token_bytes)))
+        self.known = Known(self.tokenizer, self.byte_level, self.ids)
 
     def fragments(self, data: bytes) -> list[bytes]:
         """The pieces between forced boundaries; joined they are ``data``."""
@@ -131,7 +134,7 @@ class Codec:
 
     def _encode_plain(self, text: str) -> tuple[int, ...]:
         if len(self.known) > CACHED:
-            self.known = Known(self.tokenizer, self.byte_level)
+            self.known = Known(self.tokenizer, self.byte_level, self.ids)
         ids = tuple(chain.from_iterable(map(self.known.__getitem__, self.fragments(text.encode("utf-8")))))
         self.known.forget_long()
         return ids

@@ -107,3 +107,10 @@ def test_unigram_vocabulary_is_checked():
         unigram.Vocabulary({"a▁b": -1.0})
     with pytest.raises(ValueError):
         unigram.Vocabulary({"a": -1.5})
+
+
+def test_remembered_fragments_share_their_ids():
+    codec = byte_bpe._codec(None)()
+    codec.encode("several thousand words, several hundred more words; 12 words")
+    found = [i for ids in codec.known.values() for i in ids]
+    assert any(i > 256 for i in found) and all(i is codec.ids[i] for i in found)
