@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tallymill.operators import dml
-from tallymill.operators.layout import clustered, sized_for_write
+from tallymill.operators.layout import COMPRESSION, clustered, sized_for_write
 from tallymill.schemas import table
 from tallymill.sources.readers import path_exists
 
@@ -57,8 +57,11 @@ class _Version:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
+    """``few_folders`` says that partitions are few and large, so that rows are written where they are, without a shuffle."""
+
+    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = (), few_folders: bool = False):
         self.spark = spark
+        self.few_folders = few_folders
         self.root = root.rstrip("/")
         self.partition_by = tuple(partition_by)
 
@@ -240,8 +243,8 @@ class VersionedTable:
     def _write(self, df: DataFrame, number: int, arranged: bool = False) -> tuple[int, frozenset[str]]:
         """Write the rows of a version and count them on the way; the count and the folders."""
         counter, attempt = Observation(), f"{number}-{uuid.uuid4().hex[:12]}"
-        frame = df if arranged else sized_for_write(df, self.partition_by)
-        writer = frame.observe(counter, F.count(F.lit(1)).alias("rows")).write
+        frame = df if arranged or self.few_folders else sized_for_write(df, self.partition_by)
+        writer = frame.observe(counter, F.count(F.lit(1)).alias("rows")).write.option("compression", COMPRESSION)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/data/{_WRITTEN_IN}={attempt}")

@@ -29,7 +29,7 @@ from tallymill.operators import gold
 from tallymill.operators.clean import align_to, calibrate, normalise_sale_types
 from tallymill.operators.dedup import latest_per_key, master_rows
 from tallymill.operators.incremental import look_back_bound, not_before
-from tallymill.operators.layout import sized_for_write
+from tallymill.operators.layout import COMPRESSION, sized_for_write
 from tallymill.operators.maintained import Measures, plain_sums, refreshed, summary
 from tallymill.operators.validate import REASONS, VALID, flag_rows
 from tallymill.operators.versioned import VersionedTable
@@ -80,8 +80,10 @@ class RetailLakehouse:
         self.root = root.rstrip("/")
         self.lookback = lookback
         self.log = RunLog(spark, f"{self.root}/logs")
-        self.sales = VersionedTable(spark, f"{self.root}/silver/sales", (_PERIOD,))
-        self.quarantine = VersionedTable(spark, f"{self.root}/silver/quarantine", (_PERIOD,))
+        # Years are few and large: what a task holds of each is a file of its own, and no shuffle gathers them.
+        self.few_folders = period == "year"
+        self.sales = VersionedTable(spark, f"{self.root}/silver/sales", (_PERIOD,), self.few_folders)
+        self.quarantine = VersionedTable(spark, f"{self.root}/silver/quarantine", (_PERIOD,), self.few_folders)
 
     def create(self, reset: bool = False) -> None:
         """Create absent tables; ``reset`` starts the silver tables and the log anew."""
@@ -133,8 +135,9 @@ class RetailLakehouse:
         }
         counter = Observation()
         counts = [F.count_if(~broken).alias("rows"), F.count_if(broken).alias("malformed")]
-        sized = sized_for_write(rows.withColumns(folders), tuple(folders)).observe(counter, *counts)
-        sized.write.mode("overwrite").partitionBy(*folders).parquet(path)
+        placed = rows.withColumns(folders)
+        sized = (placed if self.few_folders else sized_for_write(placed, tuple(folders))).observe(counter, *counts)
+        sized.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*folders).parquet(path)
         return counter.get["rows"], counter.get["malformed"]
 
     def _bronze_rows(self, path: str) -> DataFrame:
@@ -193,7 +196,7 @@ class RetailLakehouse:
     def _store(self, flagged: DataFrame) -> tuple[int, int]:
         # Written once and read for both outputs, instead of classifying twice.
         staged = f"{self.root}/staging/classified-{uuid.uuid4().hex[:12]}"
-        flagged.write.partitionBy(VALID).parquet(staged)
+        flagged.write.option("compression", COMPRESSION).partitionBy(VALID).parquet(staged)
         stored = self.spark.read.schema(flagged.schema).parquet(staged)
         valid, rejected = stored.where(F.col(VALID)), stored.where(~F.col(VALID))
         counts = {row[0]: row[1] for row in stored.groupBy(VALID).count().collect()}

@@ -232,7 +232,7 @@ def _replayed(spark, sf_dir, gold: bool = False) -> RetailLakehouse:
             "store_id": F.col("l_suppkey").cast("string"), "product_id": F.col("l_partkey").cast("string"),
             "total_amount": F.lit(0.0), "currency": F.lit("EUR"),
         })
-        writers.write_csv(named.select(*RAW_SALES.names), path)
+        writers.write_csv(named.select(*RAW_SALES.names), path, "gzip")
         house.ingest(path)
         house.refresh_silver()
         if gold:

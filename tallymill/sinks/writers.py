@@ -10,10 +10,13 @@ from tallymill.operators.layout import sized_for_write
 from tallymill.sources.readers import empty_table, path_exists, read_path
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header line; timestamps keep their microseconds."""
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """CSV with a header line; timestamps keep their microseconds.
+
+    A compressed file is read again by one task, so ``compression`` suits files of a task's size, as Spark writes them.
+    """
     formats = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    df.write.mode("overwrite").options(header=True, **formats).csv(path)
+    df.write.mode("overwrite").options(header=True, compression=compression, **formats).csv(path)
 
 
 def write_json_records(df: DataFrame, path: str) -> None:
