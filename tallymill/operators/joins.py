@@ -26,16 +26,18 @@ def without_keys_of(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Dat
 
 # Rows up to which a counted master is broadcast.  A row of masters is well below 1 KB.
 MOST_BROADCAST = 50_000
+# The same for keys alone, which take some 100 bytes each.
+MOST_KEYS_BROADCAST = 500_000
 
 
-def proven_small(master: DataFrame) -> DataFrame:
-    """The master with a broadcast hint if it has few rows: at most ``MOST_BROADCAST + 1`` are counted.
+def proven_small(master: DataFrame, most: int | None = None) -> DataFrame:
+    """The master with a broadcast hint if it has few rows: ``most``, by default ``MOST_BROADCAST``, and one more are counted.
 
     With broadcasting switched off in the session nothing is hinted.
     """
-    spark = master.sparkSession
+    spark, most = master.sparkSession, MOST_BROADCAST if most is None else most
     off = spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
-    few = not off and master.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    few = not off and master.limit(most + 1).count() <= most
     return F.broadcast(master) if few else master
 
 

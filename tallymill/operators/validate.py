@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymill.functions.columns import all_of, holds
-from tallymill.operators.joins import proven_small
+from tallymill.operators import joins
 
 REASONS = "reject_reasons"
 VALID = "is_valid"
@@ -26,7 +26,7 @@ def flag_rows(df: DataFrame, masters: Mapping[str, DataFrame], rules: Mapping[st
     for key, master in masters.items():
         mark = f"_known_{key}"
         known = master.select(key).where(F.col(key).isNotNull()).distinct().withColumn(mark, F.lit(True))
-        df = df.join(proven_small(known), key, "left")
+        df = df.join(joins.proven_small(known, joins.MOST_KEYS_BROADCAST), key, "left")
         tests[f"unknown_{key}"] = F.col(mark)
     tests.update(rules)
     # ``is_valid`` is a plain conjunction rather than "no reasons": a filter on it is split

@@ -67,6 +67,15 @@ def test_hot_key_is_split_and_nothing_is_lost(join, spark, shuffled_joins):
         assert count == result.select("transaction_id").distinct().count()
 
 
+def test_many_keys_of_a_master_are_broadcast(spark):
+    """Above 50,000 rows the keys alone are still small: the facts stay where they are."""
+    facts = spark.range(0, 80_000, 1, 4).select(F.col("id").alias("product_id"))
+    master = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("product_id"), F.lit("n").alias("name"))
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "1k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "1k"}):
+        flagged = validate.flag_rows(facts, {"product_id": master}, {})
+        assert "SortMergeJoin" not in final_plan(flagged) and flagged.where(validate.VALID).count() == 60_000
+
+
 def test_upsert_into_a_hot_key(spark, shuffled_joins):
     target = _facts(spark).select("transaction_id", "product_id", "payload")
     source = spark.createDataFrame([(-1, 7, "new"), (-2, 5000, "new")], "transaction_id long, product_id long, payload string")
