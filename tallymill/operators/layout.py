@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Stored tables are written once and read several times: smaller than Spark's default, at little more time.
 COMPRESSION = "zstd"
+# Folders that a task writes side by side; the rows of further ones it sorts.
+OPEN_FOLDERS = 32
+
+
+@contextmanager
+def open_folders(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes within need not sort the rows of a task by folder, unless it meets more than ``OPEN_FOLDERS``.
+
+    Writes take the number from the session, so it is set for the time of the call.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
 def sized_for_write(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Gather the rows of each output folder into files of the advised size.

@@ -21,6 +21,7 @@ import json
 import re
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tallymill.operators import dml
-from tallymill.operators.layout import COMPRESSION, clustered, sized_for_write
+from tallymill.operators.layout import COMPRESSION, clustered, open_folders, sized_for_write
 from tallymill.schemas import table
 from tallymill.sources.readers import path_exists
 
@@ -247,7 +248,9 @@ class VersionedTable:
         writer = frame.observe(counter, F.count(F.lit(1)).alias("rows")).write.option("compression", COMPRESSION)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.root}/data/{_WRITTEN_IN}={attempt}")
+        # An arranged frame keeps its order within a folder.
+        with nullcontext() if arranged else open_folders(frame.sparkSession):
+            writer.parquet(f"{self.root}/data/{_WRITTEN_IN}={attempt}")
         return counter.get["rows"], self._folders_of(attempt)
 
     def _folders_of(self, attempt: str) -> frozenset[str]:

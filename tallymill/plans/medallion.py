@@ -29,7 +29,7 @@ from tallymill.operators import gold
 from tallymill.operators.clean import align_to, calibrate, normalise_sale_types
 from tallymill.operators.dedup import latest_per_key, master_rows
 from tallymill.operators.incremental import look_back_bound, not_before
-from tallymill.operators.layout import COMPRESSION, sized_for_write
+from tallymill.operators.layout import COMPRESSION, open_folders, sized_for_write
 from tallymill.operators.maintained import Measures, plain_sums, refreshed, summary
 from tallymill.operators.validate import REASONS, VALID, flag_rows
 from tallymill.operators.versioned import VersionedTable
@@ -137,7 +137,8 @@ class RetailLakehouse:
         counts = [F.count_if(~broken).alias("rows"), F.count_if(broken).alias("malformed")]
         placed = rows.withColumns(folders)
         sized = (placed if self.few_folders else sized_for_write(placed, tuple(folders))).observe(counter, *counts)
-        sized.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*folders).parquet(path)
+        with open_folders(sized.sparkSession):
+            sized.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*folders).parquet(path)
         return counter.get["rows"], counter.get["malformed"]
 
     def _bronze_rows(self, path: str) -> DataFrame:
@@ -196,7 +197,8 @@ class RetailLakehouse:
     def _store(self, flagged: DataFrame) -> tuple[int, int]:
         # Written once and read for both outputs, instead of classifying twice.
         staged = f"{self.root}/staging/classified-{uuid.uuid4().hex[:12]}"
-        flagged.write.option("compression", COMPRESSION).partitionBy(VALID).parquet(staged)
+        with open_folders(flagged.sparkSession):
+            flagged.write.option("compression", COMPRESSION).partitionBy(VALID).parquet(staged)
         stored = self.spark.read.schema(flagged.schema).parquet(staged)
         valid, rejected = stored.where(F.col(VALID)), stored.where(~F.col(VALID))
         counts = {row[0]: row[1] for row in stored.groupBy(VALID).count().collect()}

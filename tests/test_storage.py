@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 from pyspark.sql.types import StructType
 
 from tallymill import fixed_values as values
@@ -45,6 +45,21 @@ def test_taxi_pipeline(spark, tmp_path):
     spark.catalog.setCurrentDatabase("default")
 
 
+def test_stored_folders_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Also where a task meets more folders than it may hold open; the session's own number comes back."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.parquet
+
+    def noted(writer, path, *args, **kwargs):
+        seen.append((path, spark.conf.get(name)))
+        return write(writer, path, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    store = VersionedTable(spark, str(tmp_path / "t"), ("part",))
+    store.create(spark.range(0, 400, 1, 1).selectExpr("id", "id % 80 AS part"))
+    assert [n for path, n in seen if "/data/" in path] == ["32"] and spark.conf.get(name) == "0"
+    assert rows(store.read(), "id") == [(i,) for i in sorted(range(400), key=str)]
+
+
 def test_managed_tables(spark):
     writers.use_database(spark, "sink_test")
     wide = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0)], "id int, k string, extra double")
