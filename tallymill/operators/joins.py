@@ -27,7 +27,7 @@ def without_keys_of(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Dat
 # Rows up to which a counted master is broadcast.  A row of masters is well below 1 KB.
 MOST_BROADCAST = 50_000
 # The same for keys alone, which take some 100 bytes each.
-MOST_KEYS_BROADCAST = 500_000
+MOST_KEYS_BROADCAST = 1_000_000
 
 
 def proven_small(master: DataFrame, most: int | None = None) -> DataFrame:
